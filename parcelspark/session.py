@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,3 +53,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by Python workers that would not find it: neither on PYTHONPATH nor
+    in the working folder. Spark serves the archive from the driver to every executor."""
+    root = Path(__file__).resolve().parent.parent
+    reach = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if any(p and Path(p).resolve() == root for p in reach) or spark.conf.get("parcelspark.shipped", None):
+        return
+    with tempfile.TemporaryDirectory() as d:
+        archive = Path(d) / "parcelspark.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for p in sorted((root / "parcelspark").rglob("*.py")):
+                z.write(p, p.relative_to(root))
+        spark.sparkContext.addPyFile(str(archive))
+    spark.conf.set("parcelspark.shipped", "true")
