@@ -50,13 +50,18 @@ class Words:
     def __len__(self) -> int:
         return len(self.codes)
 
-    def joined(self, keep: np.ndarray | None = None) -> pa.Array:
-        """Each text's (kept) words joined by one space."""
+    def spaced(self, keep: np.ndarray | None = None) -> tuple[memoryview, np.ndarray, np.ndarray]:
+        """Bytes of all (kept) words, each followed by one space; where each word begins in them (and
+        the end); each text's first word, and the end. Words a to b of a text, joined by one space, are
+        the bytes from begin[a] to begin[b + 1] - 1."""
         words, starts = self.words, self.starts
         if keep is not None:
             starts = np.concatenate([[0], np.cumsum(keep)])[starts]
             words = words.filter(pa.array(keep))
-        return pc.binary_join(pa.LargeListArray.from_arrays(pa.array(starts, pa.int64()), words), " ")
+        text = pc.binary_join_element_wise(words, pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
+        _, offsets, data = text.buffers()
+        begin = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1] if len(text) else np.zeros(1, np.int64)
+        return memoryview(data or b""), begin, starts
 
 
 def in_blocks(docs: DataFrame, block_bytes: int, *columns: str) -> tuple[DataFrame, int]:
