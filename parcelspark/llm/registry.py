@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from parcelspark.llm import mixing, packing, simhash, substrings, token_counts
+from parcelspark.llm import language_model, mixing, packing, simhash, substrings, token_counts
 
-_MODULES = (mixing, packing, simhash, substrings, token_counts)
+_MODULES = (language_model, mixing, packing, simhash, substrings, token_counts)
 
 
 def queries() -> dict:
