@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm.text import Words
+from parcelspark.llm.text import Words, slices
 from parcelspark.operators.graph import connected_components
 from parcelspark.session import materialise
 
@@ -18,6 +18,8 @@ RADIUS = 3
 SEED = 42
 #: Fingerprints of one shard before it is split further, and (query, node) pairs held at once.
 SHARD, FRONTIER = 8192, 1 << 20
+#: Shingles whose bounds are Python numbers at once.
+HASHED = 1 << 17
 _LANES = np.uint64(0x0101010101010101)
 
 
@@ -37,7 +39,10 @@ def simhash(texts: pa.Array, words_each: int = 3) -> np.ndarray:
     at = np.arange(ends[-1]) + np.repeat(words.starts[:-1] - (ends - shingles), shingles)
     last = at + np.repeat(np.minimum(n, words_each) - 1, shingles)
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(raw[a:b], SEED) for a, b in zip(begin[at].tolist(), (begin[last + 1] - 1).tolist(), strict=True)), np.uint64, len(at))
+    hashes = np.empty(len(at), np.uint64)
+    for low in range(0, len(at), HASHED):
+        s = slice(low, low + HASHED)
+        hashes[s] = [digest(raw[a:b], SEED) for a, b in zip(begin[at[s]].tolist(), (begin[last[s] + 1] - 1).tolist(), strict=True)]
     # runs of at most 255 shingles: each byte of a word counts one bit without overflow
     has = np.flatnonzero(shingles)
     runs = -(-shingles[has] // 255)
@@ -202,8 +207,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3)
     """
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(simhash(batch.column(1), words_each).view(np.int64))], ["doc_id", "fp"])
+        for batch in (b for b in batches if b.num_rows):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([simhash(x, words_each) for x in slices(batch.column(1))]).view(np.int64))], ["doc_id", "fp"])
 
     found = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(prints, "doc_id long, fp long"), "simhash-prints")
     # a class without any id still needs a node: negative hash of its print, mapped back to null below

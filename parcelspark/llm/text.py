@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +29,14 @@ def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
+    """`column` in order, in slices of about `limit` bytes of text; a longer text is a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(sizes) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(column)]
+    return (column.slice(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False) if b > a)
+
+
 class Words:
     """Words of a batch of texts: `vocab` (distinct words), `codes` (one for each word, in order),
     `starts` (len(texts) + 1 offsets into codes). A null text has no words."""
