@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from parcelspark.llm import language_model, mixing, packing, quality_classifier, simhash, substrings, token_counts
+from parcelspark.llm import language_model, mixing, packing, quality_classifier, simhash, substrings, token_counts, toxicity
 
-_MODULES = (language_model, mixing, packing, quality_classifier, simhash, substrings, token_counts)
+_MODULES = (language_model, mixing, packing, quality_classifier, simhash, substrings, token_counts, toxicity)
 
 
 def queries() -> dict:
