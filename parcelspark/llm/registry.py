@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from parcelspark.llm import language_model, mixing, packing, quality_classifier, quality_rules, simhash, substrings, token_counts, toxicity
+from parcelspark.llm import embeddings, language_model, mixing, packing, quality_classifier, quality_rules, simhash, substrings, token_counts, toxicity
 
-_MODULES = (language_model, mixing, packing, quality_classifier, quality_rules, simhash, substrings, token_counts, toxicity)
+_MODULES = (embeddings, language_model, mixing, packing, quality_classifier, quality_rules, simhash, substrings, token_counts, toxicity)
 
 
 def queries() -> dict:
