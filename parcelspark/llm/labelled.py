@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.text import Words, as_array, fold
+from parcelspark.llm.text import Words, fold, unsliced
 
 #: Labelled rows that a classifier is fitted on, at most: those whose ids hash lowest.
 SAMPLE = 20_000
@@ -54,7 +54,7 @@ def _runs(doc: np.ndarray, code: np.ndarray, width: int) -> tuple[np.ndarray, np
 def statistics(texts: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """A row of STATISTICS for each text, from its whole bytes, words and lines. Null is like empty; an
     empty text's shares are 0."""
-    column = pc.fill_null(as_array(texts).cast(pa.large_string()), "")
+    column = unsliced(texts)
     n = len(column)
     out = np.zeros((n, len(STATISTICS)), np.float32)
     if not n:

@@ -29,6 +29,18 @@ def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def unsliced(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """`column` with null as empty, its offsets counted from 0: Arrow's kernels for ASCII text misread the
+    bytes of a slice."""
+    column = pc.fill_null(as_array(column).cast(pa.large_string()), "")
+    if not len(column):
+        return pa.array([], pa.large_string())
+    _, offsets, data = column.buffers()
+    begin = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = pa.py_buffer(b"") if data is None else data.slice(begin[0], begin[-1] - begin[0])
+    return pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(begin - begin[0]), data)
+
+
 def slices(column: pa.Array, limit: int = 4 << 20) -> Iterator[pa.Array]:
     """`column` in order, in slices of about `limit` bytes of text; a longer text is a slice of its own."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -42,7 +54,7 @@ class Words:
     `starts` (len(texts) + 1 offsets into codes). A null text has no words."""
 
     def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False):
-        texts = pc.fill_null(as_array(texts).cast(pa.large_string()), "")
+        texts = unsliced(texts)
         if lower:
             texts = pc.ascii_lower(texts) if len(texts) else texts
         pieces = pc.ascii_split_whitespace(texts)
