@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from parcelspark.plans import catalog, cells, merging, rasters, seams  # noqa: F401  (each registers its queries)
+from parcelspark.plans.base import ORACLES, QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return merging.merge_summary(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
