@@ -18,9 +18,11 @@ _METRICS = "area_m2 double, perimeter_m double, n_parts int, n_holes int, n_coor
 
 
 def _mapped(df: DataFrame, schema: str, row) -> DataFrame:
-    """`df` with the columns that `row(values by name)` gives, a batch at a time."""
+    """`df` with the columns that `row(values by name)` gives, a batch at a time; a column that has one of
+    their names is replaced."""
     names = [x.strip().split(" ")[0] for x in schema.split(", ")]
-    out_schema = df.selectExpr("*", *(f"cast(null as {x.strip().split(' ', 1)[1]}) as {x.strip().split(' ')[0]}" for x in schema.split(", "))).schema
+    kept = [c for c in df.columns if c not in names]
+    out_schema = df.select(*kept).selectExpr("*", *(f"cast(null as {x.strip().split(' ', 1)[1]}) as {x.strip().split(' ')[0]}" for x in schema.split(", "))).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_type
@@ -29,7 +31,7 @@ def _mapped(df: DataFrame, schema: str, row) -> DataFrame:
         for batch in batches:
             rows = [row(r) for r in batch.to_pylist()]
             extra = [pa.array([r[i] if r is not None else None for r in rows], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *extra], [*kept, *names])
 
     return df.mapInArrow(run, out_schema)
 

@@ -27,7 +27,7 @@ def is_north(tile_key: Column) -> Column:
 def utm_epsg(tile_key: Column, hemisphere: bool = False) -> Column:
     """EPSG code of the zone's projection: the northern one, in which both sides of the equator compare,
     or with `hemisphere` the tile's own."""
-    number = zone_of(tile_key).cast("int")
+    number = zone_of(tile_key).try_cast("int")  # null for what is no tile key
     return F.when(is_north(tile_key), 32600 + number).otherwise(32700 + number) if hemisphere else 32600 + number
 
 
