@@ -52,28 +52,37 @@ def _window_sum(x: np.ndarray, half: int) -> np.ndarray:
     padded = np.pad(x, half + 1)[: x.shape[0] + 2 * half + 1, : x.shape[1] + 2 * half + 1]
     s = padded.cumsum(0).cumsum(1)
     k = 2 * half + 1
-    s = np.pad(s, ((0, 0), (0, 0)))
     return s[k:, k:] - s[:-k, k:] - s[k:, :-k] + s[:-k, :-k]
 
 
-def fill_gaps(stack: np.ndarray, nodata: int, window: int = 31, least: float = 0.0) -> np.ndarray:
-    """A (bands, h, w) stack without gaps: from the mean of valid values in the window where more than
-    `least` of it is valid, else from the mean of the pixel's other bands' filled share, else from the band's lower
-    median; a band without any valid value becomes 0. The frame counts as not valid."""
-    out = stack.astype(np.float64).copy()
-    for band in range(stack.shape[0]):
-        valid = stack[band] != nodata
-        if valid.all():
-            continue
-        if not valid.any():
-            out[band] = 0
-            continue
-        values = np.where(valid, stack[band], 0).astype(np.float64)
-        n, s = _window_sum(valid.astype(np.float64), window // 2), _window_sum(values, window // 2)
-        near = n > max(least * window * window, 0.5)
-        ordered = np.sort(stack[band][valid])
-        middle = float(ordered[(len(ordered) - 1) // 2])
-        out[band] = np.where(valid, values, np.where(near, s / np.maximum(n, 1), middle))
+def fill_gaps(stack: np.ndarray, nodata: int, window: int = 31, least: float = 0.3, bands: int = 4) -> np.ndarray:
+    """A (times * bands, h, w) stack without gaps; valid pixels stay as they are.
+
+    A gap gets the mean of its own layer in the window, if at least the share `least` of it is valid (beyond
+    the frame nothing is); else the mean of the same band's other times at the pixel; else the layer's
+    lower median, or 0 in a layer without any value. Whole numbers stay whole and never become nodata.
+    """
+    bad = stack == nodata
+    if np.issubdtype(stack.dtype, np.floating):
+        bad |= ~np.isfinite(stack)
+    if not bad.any():
+        return stack
+    out, values = stack.copy(), np.where(bad, 0, stack).astype(np.float64)
+    for band in range(bands):
+        layers = range(band, len(stack), bands)
+        every, seen = values[band::bands].sum(0), (~bad[band::bands]).sum(0)
+        for layer in (x for x in layers if bad[x].any()):
+            valid = ~bad[layer]
+            share = _window_sum(valid.astype(np.float64), window // 2) / window**2
+            near = _window_sum(values[layer], window // 2) / window**2 / np.maximum(share, 1e-12)
+            others = seen - valid
+            ordered = np.sort(stack[layer][valid])
+            middle = float(ordered[(len(ordered) - 1) // 2]) if len(ordered) else 0.0
+            fill = np.where(share >= least - 1e-12, near, np.where(others > 0, (every - values[layer]) / np.maximum(others, 1), middle))
+            if np.issubdtype(stack.dtype, np.integer):
+                limits = np.iinfo(stack.dtype)
+                fill = np.clip(np.rint(fill), limits.min + 1, limits.max)
+            out[layer] = np.where(valid, stack[layer], fill)
     return out
 
 

@@ -91,3 +91,112 @@ def is_seam_pair(overlap: float, area_a: float, area_b: float, same_tile: bool,
     """Are two parcels pieces of one? They overlap by a share of the smaller; from two tiles also by an
     area. A shared edge is no overlap."""
     return overlap >= share * min(area_a, area_b) and overlap > 0 and (same_tile or overlap >= least)
+
+
+def _noded(groups: list[Polygons]) -> np.ndarray:
+    """Edges of all groups, cut where they cross or touch, ends rounded to a grid of 1e-9 of the extent."""
+    rows = [np.column_stack([r[:-1], r[1:]]) for g in groups for p in g for r in p if len(r) > 1]
+    e = np.concatenate(rows) if rows else np.zeros((0, 4))
+    if not len(e):
+        return e
+    scale = max(np.ptp(e[:, [0, 2]]), np.ptp(e[:, [1, 3]]), 1e-12) * 1e-9
+    out = []
+    for i, (ax, ay, bx, by) in enumerate(e):
+        dx, dy = bx - ax, by - ay
+        ox, oy, ex, ey = e[:, 0] - ax, e[:, 1] - ay, e[:, 2] - e[:, 0], e[:, 3] - e[:, 1]
+        cross = dx * ey - dy * ex
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t, u = (ox * ey - oy * ex) / cross, (ox * dy - oy * dx) / cross
+        cuts = t[(np.abs(cross) > 0) & (t > 0) & (t < 1) & (u >= -1e-9) & (u <= 1 + 1e-9)]
+        # ends of other edges that lie on this one, which collinear edges meet at
+        ends = np.concatenate([e[:, :2], e[:, 2:]])
+        size = dx * dx + dy * dy
+        if size == 0:
+            continue
+        along = ((ends[:, 0] - ax) * dx + (ends[:, 1] - ay) * dy) / size
+        off = np.abs((ends[:, 0] - ax) * dy - (ends[:, 1] - ay) * dx) / np.sqrt(size)
+        stops = np.unique(np.concatenate([[0, 1], cuts, along[(off <= scale) & (along > 0) & (along < 1)]]))
+        points = np.column_stack([ax + stops * dx, ay + stops * dy])
+        points[0], points[-1] = (ax, ay), (bx, by)
+        points = np.round(points / scale) * scale
+        out.append(np.column_stack([points[:-1], points[1:]]))
+    out = np.concatenate(out)
+    return out[(out[:, :2] != out[:, 2:]).any(1)]
+
+
+def overlay_polygons(groups: list[Polygons], held) -> Polygons:
+    """Polygons of the region where `held` is true, given for each group whether a place is inside it (by
+    the even-odd rule). Edges are cut at crossings; those with the region on one side alone are its
+    outline, chained with the region on the left."""
+    from parcelspark.functions.wkb import contains, ring_area
+
+    e = _noded(groups)
+    if not len(e):
+        return []
+    down = (e[:, 0] > e[:, 2]) | ((e[:, 0] == e[:, 2]) & (e[:, 1] > e[:, 3]))
+    e[down] = e[down][:, [2, 3, 0, 1]]
+    e = np.unique(e, axis=0)
+    middle, d = (e[:, :2] + e[:, 2:]) / 2, e[:, 2:] - e[:, :2]
+    length = np.hypot(d[:, 0], d[:, 1])
+    step = np.column_stack([-d[:, 1], d[:, 0]]) / length[:, None] * (np.minimum(length, length.max() * 1e-3) * 1e-3)[:, None]
+    sides = []
+    for at in (middle + step, middle - step):
+        inside = np.array([contains(g, at[:, 0], at[:, 1]) if g else np.zeros(len(at), bool) for g in groups])
+        sides.append(np.array([bool(held(inside[:, i].tolist())) for i in range(len(at))]))
+    left, right = sides
+    keep = left != right
+    e, left = e[keep], left[keep]
+    e[~left] = e[~left][:, [2, 3, 0, 1]]
+    ways: dict[tuple, list[tuple]] = {}
+    for ax, ay, bx, by in e.tolist():
+        ways.setdefault((ax, ay), []).append((bx, by))
+    rings = []
+    while ways:
+        start = at = next(iter(ways))
+        ring, last = [at], None
+        while True:
+            options = ways.get(at)
+            if not options:
+                break
+            if last is None or len(options) == 1:
+                to = options[0]
+            else:  # several ways on: the first one clockwise from where the walk came keeps each ring by itself
+                back = np.arctan2(last[1] - at[1], last[0] - at[0])
+                to = min(options, key=lambda o: (back - np.arctan2(o[1] - at[1], o[0] - at[0])) % (2 * np.pi))
+            options.remove(to)
+            if not options:
+                del ways[at]
+            last, at = at, to
+            ring.append(at)
+            if at == start:
+                break
+        p = np.array(ring)
+        if len(p) >= 4 and (p[0] == p[-1]).all():
+            d = np.diff(p, axis=0)
+            turn = np.abs(np.roll(d, 1, axis=0)[:, 0] * d[:, 1] - np.roll(d, 1, axis=0)[:, 1] * d[:, 0])
+            bend = turn > 1e-12 * (np.abs(d).max() ** 2 + 1e-300)
+            p = p[:-1][bend]
+            if len(p) >= 3:
+                rings.append(np.concatenate([p, p[:1]]))
+    shells = [r for r in rings if ring_area(r) > 0]
+    parts = [[s] for s in sorted(shells, key=lambda r: (r[:, 0].min(), r[:, 1].min()))]
+    for hole in (r for r in rings if ring_area(r) < 0):
+        d = hole[1] - hole[0]
+        at = (hole[0] + hole[1]) / 2 + np.array([-d[1], d[0]]) * 1e-6
+        around = [p for p in parts if contains([[p[0]]], at[:1], at[1:])[0]]
+        if around:
+            min(around, key=lambda p: ring_area(p[0])).append(hole)
+    return parts
+
+
+def union(polygons: list[Polygons]) -> Polygons:
+    return overlay_polygons([p for p in polygons if p], any)
+
+
+def intersection(a: Polygons, b: Polygons) -> Polygons:
+    return [] if boxes_apart(a, b) else overlay_polygons([a, b], all)
+
+
+def repaired(polygons: Polygons) -> Polygons:
+    """The same region with valid rings: crossings become corners, slivers without area go."""
+    return overlay_polygons([polygons], all) if polygons else []

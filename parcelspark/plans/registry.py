@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelspark.plans import catalog, cells, merging, rasters, seams  # noqa: F401  (each registers its queries)
+from parcelspark.plans import catalog, cells, merging, rasters, release, seams  # noqa: F401  (each registers its queries)
 from parcelspark.plans.base import ORACLES, QUERIES
 
 

@@ -75,16 +75,24 @@ def test_zonal_sums_and_reductions():
     assert arrays.label_boxes(labels)[3] == (12, 0, 23, 23)
 
 
-def test_window_mean_fill_by_brute_force():
+def test_gap_filling_by_brute_force():
     rng = np.random.default_rng(0)
-    stack = rng.integers(1, 100, (2, 20, 17)).astype(np.int16)
-    stack[rng.random(stack.shape) < 0.3] = -1
-    stack[1] = -1
-    got = arrays.fill_gaps(stack, -1, window=5)
-    for r, c in zip(*np.nonzero(stack[0] == -1)):
-        w = stack[0, max(r - 2, 0) : r + 3, max(c - 2, 0) : c + 3]
-        assert got[0, r, c] == pytest.approx(w[w != -1].mean())
-    assert (got[0][stack[0] != -1] == stack[0][stack[0] != -1]).all() and (got[1] == 0).all()
+    stack = rng.integers(1, 1000, (4, 12, 11)).astype(np.int16)  # two times of two bands
+    stack[rng.random(stack.shape) < 0.75] = -1
+    stack[3] = -1
+    got = arrays.fill_gaps(stack, -1, window=3, least=0.3, bands=2)
+    ways = set()
+    for layer, r, c in zip(*np.nonzero(stack == -1)):
+        w = stack[layer, max(r - 1, 0) : r + 2, max(c - 1, 0) : c + 2]
+        w, other = w[w != -1], stack[(layer + 2) % 4, r, c]
+        rest = np.sort(stack[layer][stack[layer] != -1])
+        way = 0 if len(w) / 9 >= 0.3 else 1 if other != -1 else 2
+        ways.add(way)
+        want = (w.mean() if way == 0 else other if way == 1 else rest[(len(rest) - 1) // 2] if len(rest) else 0)
+        assert got[layer, r, c] == np.rint(want)
+    assert ways == {0, 1, 2} and (got[stack != -1] == stack[stack != -1]).all()
+    full = np.ones((4, 3, 3), np.int16)
+    assert arrays.fill_gaps(full, -1) is full
 
 
 def test_pyramid_patches_and_figures():
@@ -122,3 +130,21 @@ def test_shared_edges_stay_shared():
     assert len(p) + len(q) < len(a) + len(b)
     assert overlay.intersection_area([[p]], [[q]]) == pytest.approx(0, abs=1e-9)
     assert abs(wkb.ring_area(p)) + abs(wkb.ring_area(q)) == pytest.approx(10_000)
+
+
+def test_unions_and_repairs_have_the_measured_areas():
+    rng = np.random.default_rng(5)
+    for i in range(60):
+        if i % 2:
+            shapes = [wkb.box(*(c := rng.integers(0, 6, 2)), *(c + rng.integers(1, 5, 2))) for _ in range(4)]
+        else:
+            shapes = []
+            for _ in range(3):
+                t, r, c = np.sort(rng.uniform(0, 2 * np.pi, 8)), rng.uniform(0.5, 1, 8), rng.uniform(0, 1.2, 2)
+                shapes.append([[wkb.closed(np.column_stack([np.cos(t), np.sin(t)]) * r[:, None] + c)]])
+        assert wkb.area(overlay.union(shapes)) == pytest.approx(overlay.union_area(shapes), abs=1e-6)
+        assert wkb.area(overlay.intersection(*shapes[:2])) == pytest.approx(overlay.intersection_area(*shapes[:2]), abs=1e-6)
+    ring = overlay.union([wkb.box(0, 0, 3, 1), wkb.box(0, 2, 3, 3), wkb.box(0, 0, 1, 3), wkb.box(2, 0, 3, 3)])
+    assert [len(p) for p in ring] == [2] and wkb.area(ring) == pytest.approx(8)
+    bow = [[np.array([[0, 0], [2, 2], [2, 0], [0, 2], [0, 0]], float)]]
+    assert wkb.area(overlay.repaired(bow)) == pytest.approx(2) and len(overlay.repaired(bow)) == 2
