@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.llm.labelled import FOLDS, HELD_OUT, SAMPLE, training_sample
 from parcelspark.llm.text import Words, fold, slices
+from parcelspark.session import materialise
 
 THRESHOLD = 0.3
 #: Entries of each lexicon at most, and the documents that must hold an entry.
@@ -68,27 +69,27 @@ def learn_lexicons(sample: DataFrame) -> Lexicons:
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            y = batch.column(1).to_numpy()
-            words = Words(batch.column(0))
-            if not len(words):
-                continue
-            doc = np.repeat(np.arange(len(y)), np.diff(words.starts))
-            for name, values in _forms(words.vocab)[1].items():
-                coded = values.dictionary_encode()
-                size = len(coded.dictionary)
-                pairs = np.unique(doc * size + coded.indices.to_numpy(zero_copy_only=False)[words.codes])
-                entry, toxic = pairs % size, y[pairs // size] > 0
-                a, b = (np.bincount(entry[m], minlength=size) for m in (toxic, ~toxic))
-                yield pa.RecordBatch.from_arrays([pa.array([name] * size), coded.dictionary.cast(pa.string()), pa.array(a), pa.array(b)], ["form", "entry", "a", "b"])
+            y, at = batch.column(1).to_numpy(), 0
+            for texts in slices(batch.column(0)):
+                marked, at = y[at : at + len(texts)], at + len(texts)
+                words = Words(texts)
+                if not len(words):
+                    continue
+                doc = np.repeat(np.arange(len(marked)), np.diff(words.starts))
+                for name, values in _forms(words.vocab)[1].items():
+                    coded = values.dictionary_encode()
+                    size = len(coded.dictionary)
+                    pairs = np.unique(doc * size + coded.indices.to_numpy(zero_copy_only=False)[words.codes])
+                    entry, toxic = pairs % size, marked[pairs // size] > 0
+                    a, b = (np.bincount(entry[m], minlength=size) for m in (toxic, ~toxic))
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * size), coded.dictionary.cast(pa.string()), pa.array(a), pa.array(b)], ["form", "entry", "a", "b"])
 
     totals = sample.agg(F.count_if(F.col("y") > 0).alias("a"), F.count_if(F.col("y") <= 0).alias("b")).first()
     n_a, n_b = totals["a"], totals["b"]
     least = max(SUPPORT, (n_a + n_b) // 2000)
     sums = sample.select("text", "y").mapInArrow(presence, "form string, entry string, a long, b long").groupBy("form", "entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (n_a + 1.0)) - F.log((F.col("b") + 2.0) / (n_b + 1.0))  # rare words need support
-    told = sums.where(F.col("a") >= least).withColumn("odds", odds).where(F.col("odds") >= np.log(16.0)).where("length(entry) > 2")
+    told = materialise(sums.where(F.col("a") >= least).withColumn("odds", odds).where(F.col("odds") >= np.log(16.0)).where("length(entry) > 2"), "toxicity-lexicons")
     entries = {}
     for form in _FORMS:
         rows = told.where(F.col("form") == form).orderBy(F.desc(F.col("odds") * F.sqrt("a")), "entry").limit(ENTRIES).collect()
