@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from parcelspark.session import materialise
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 _ENCODINGS: dict = {}
 #: Lengths whose rows one task sums; the longest text over this many groups are summed by another.
@@ -81,4 +83,5 @@ def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_sums(histogram(encoded_lengths(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+    hist = histogram(encoded_lengths(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return suffix_sums(materialise(hist, "lengths"))  # read twice: texts must not be encoded twice
