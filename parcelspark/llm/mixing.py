@@ -107,7 +107,7 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
         return joined.withColumn("_block", block).withColumn("_key", _key(seed, named, F.col("_block"), F.col("p.full")))
 
     blocks = dealt(docs.select("source", identity.alias("identity"), tokens.alias("n")), plan).groupBy("p.source", "_block", "_key", "left").agg(F.sum("n").alias("n"))
-    blocks = blocks.withColumn("over", F.shiftright("_key", 50))
+    blocks = materialise(blocks.withColumn("over", F.shiftright("_key", 50)), "mix-blocks")
     supers = blocks.groupBy("source", "over").agg(F.sum("n").alias("n"))
     ahead = Window.partitionBy("source").orderBy("over").rowsBetween(Window.unboundedPreceding, -1)
     supers = supers.select(F.col("source").alias("s"), F.col("over").alias("o"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
