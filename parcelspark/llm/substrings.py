@@ -80,7 +80,8 @@ class Factors:
         self.last = np.concatenate([self.first[1:], [total]]) - 1
         start, stop = self.at[self.first], self.at[self.last]
         lead, length = (least[self.first] - start).astype(np.uint64), (stop - start).astype(np.uint64)
-        self.anchor = values[least[self.first]]
+        # a least hash is small: mixed again, anchors fill the range that parts are cut from
+        self.anchor = mixed(values[least[self.first]] + np.uint64(_BASES[1]))
         self.content = mixed(self.rolling.of(start, stop - start + window) + lead * np.uint64(_BASES[0]) + length * np.uint64(_BASES[1]))
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
