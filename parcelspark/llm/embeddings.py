@@ -19,7 +19,7 @@ COSINE = 0.93
 BLOCKS = 4
 #: Vectors that the rotation is fitted on, at most; rows of a cell that one task compares, about.
 ROTATION_SAMPLE, CELL = 4096, 4096
-_WIDE = "label int, dim int, block int, cell string, home boolean, rep long, m long, v array<float>"
+_WIDE = "label int, dim int, block int, cell string, home boolean, rep long, m long, v array<{}>"
 _NARROW = "label int, dim int, block int, cell string, home boolean"
 
 
@@ -131,7 +131,8 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int
     than `cell` rows is cut into tiles that meet pairwise, so no task holds more than two. A candidate
     is checked in all dimensions. A task returns a row for each linked vector, never its pairs.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), "label", F.col("embedding").cast("array<float>").alias("v")).distinct()
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"  # nothing is rounded
+    rows = vectors.select(F.col("vec_id").cast("long"), "label", F.col("embedding").cast(f"array<{kind}>").alias("v")).distinct()
     norm = F.aggregate("v", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
     fit = F.coalesce((F.size("v") > 0) & (norm > 0) & (norm < float("inf")) & ~F.isnan(norm), F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = materialise(rows.select("vec_id", "label", F.when(fit, F.xxhash64("label", "v")).alias("k1"), F.when(fit, F.xxhash64(F.lit(1), "v", "label")).alias("k2"), F.when(fit, F.col("v")).alias("v")), "vectors")
@@ -151,7 +152,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int
     counts = placed.mapInArrow(_cells(spaces, False), _NARROW).groupBy(*at).agg(F.count("*").alias("rows"), F.count_if("home").alias("homes"))
     large = counts.where((F.col("rows") > cell) & (F.col("homes") > 0)).select(*at, F.ceil(F.col("homes") / F.lit(cell / 2)).cast("int").alias("t"), F.ceil((F.col("rows") - F.col("homes")) / F.lit(cell / 2)).cast("int").alias("u"))
     large = materialise(large, "vector-cells")
-    wide = placed.mapInArrow(_cells(spaces, True), _WIDE).join(large, at, "left")
+    wide = placed.mapInArrow(_cells(spaces, True), _WIDE.format(kind)).join(large, at, "left")
     # tiles 0 .. t-1 are of the cell's own rows, t .. t+u-1 of visitors; a task is a pair (i, j), i < t, i <= j
     own = F.when(F.col("home"), F.pmod(F.xxhash64("rep"), F.col("t"))).otherwise(F.col("t") + F.pmod(F.xxhash64("rep"), F.greatest("u", F.lit(1)))).cast("int")
     tile = F.col("tile")
@@ -171,3 +172,18 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int
 
 def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE_SQL = {
+    "op2_embeddings": f"""
+WITH RECURSIVE v AS (SELECT DISTINCT vec_id, label, cast(embedding AS double[]) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(e) > 0
+ AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+ WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= {COSINE}),
+reach AS (SELECT DISTINCT a AS node, a AS seen FROM links UNION SELECT node, b FROM reach JOIN links ON seen = a),
+least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, cast(coalesce(degree.n, 0) AS bigint) AS n_links, coalesce(component, vec_id) AS component_id, coalesce(coalesce(component, vec_id) = vec_id, false) AS kept
+FROM v LEFT JOIN least ON node = vec_id LEFT JOIN degree ON a = vec_id"""
+}

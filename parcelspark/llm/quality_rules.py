@@ -81,3 +81,21 @@ def quality_rules(docs: DataFrame, line_texts: int = LINE_TEXTS) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+_W = r"'[^\x20\x09-\x0D]+'"
+ORACLE_SQL = {
+    "op7_quality_rules": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, {_W}) AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, {_W})) AS ls FROM d),
+runs AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i:i+4]) AS n FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+again AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM runs WHERE n > 1) GROUP BY rid),
+lines AS (SELECT rid, source, text, lower(array_to_string(regexp_extract_all(l, {_W}), ' ')) AS line, len(regexp_extract_all(l, {_W})) AS n FROM (SELECT rid, source, text, unnest(ls) AS l FROM w)),
+often AS (SELECT source, line FROM lines GROUP BY source, line HAVING count(DISTINCT text) > {LINE_TEXTS}),
+gone AS (SELECT rid, sum(n) AS n FROM lines l JOIN often o ON l.source IS NOT DISTINCT FROM o.source AND l.line = o.line GROUP BY rid),
+b AS (SELECT doc_id, cast(len(ws) AS bigint) AS n_words, cast(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS bigint) AS word_chars,
+ cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS bigint) AS n_symbols, cast(len(ls) - len(list_distinct(ls)) AS bigint) AS n_dup_lines,
+ cast(coalesce(again.n, 0) AS bigint) AS n_repeat_words, cast(coalesce(gone.n, 0) AS bigint) AS n_line_words FROM w LEFT JOIN again USING (rid) LEFT JOIN gone USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+ NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words - n_line_words >= {LEAST_WORDS} AND n_words - n_line_words >= n_words * {LEAST_SHARE} AS kept, n_line_words FROM b"""
+}

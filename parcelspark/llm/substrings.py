@@ -237,3 +237,15 @@ def substring_duplicates(docs: DataFrame, window: int = WINDOW, gram: int = GRAM
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return substring_duplicates(docs, texts=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_LAST = WINDOW - 1
+ORACLE_SQL = {
+    "op3_substrings": f"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+windows AS (SELECT rid, i, md5(array_to_string(ws[i:i+{_LAST}], ' ')) AS h FROM (SELECT rid, ws, unnest(range(1, len(ws) - {_LAST} + 1)) AS i FROM w)),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + {WINDOW})) AS p FROM windows SEMI JOIN twice USING (h)),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM (SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w) x ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, cast(len(ws) AS bigint) AS n_words, cast(len(ws) - coalesce(k.n, 0) AS bigint) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256 FROM w LEFT JOIN kept k USING (rid)"""
+}
