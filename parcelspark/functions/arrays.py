@@ -268,3 +268,25 @@ def _thin(chain: list, tolerance: float) -> list:
             break
         del chain[i + 1]
     return chain
+
+
+def windows(size: tuple[int, int], core: int, halo: int) -> list[tuple[int, int, int, int, int, int]]:
+    """(row, col, row0, col0, row1, col1): each window's core corner, and its extent with the halo cut at the frame."""
+    h, w = size
+    return [(r, c, max(r - halo, 0), max(c - halo, 0), min(r + core + halo, h), min(c + core + halo, w)) for r in range(0, h, core) for c in range(0, w, core)]
+
+
+def window_parcels(labels: np.ndarray, at: tuple[int, int], core: tuple[int, int, int, int]) -> dict[int, tuple[Polygons, bool]]:
+    """Outlines of a window's labels whose centroid lies in its core (half open), in the frame of the whole
+    raster, and whether the window's edge cuts them. A parcel is thus kept by one window."""
+    from parcelspark.functions.wkb import centroid
+
+    out = {}
+    h, w = labels.shape
+    rim = set(np.unique(np.concatenate([labels[0], labels[-1], labels[:, 0], labels[:, -1]])).tolist())
+    for k, polygons in trace(labels).items():
+        moved = [[r + np.array([at[1], at[0]], float) for r in p] for p in polygons]
+        x, y = centroid(moved)
+        if core[0] <= y < core[2] and core[1] <= x < core[3]:
+            out[k] = moved, k in rim
+    return out

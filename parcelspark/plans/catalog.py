@@ -145,3 +145,53 @@ _ITEM = "'{{\"id\":\"' || {id} || '\",\"bbox\":[' || x0 || ',' || y0 || ',' || x
 def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = aggregates.extents(parcels(spark, sf_dir), "zone").join(parcels(spark, sf_dir).groupBy("zone").agg(F.count("*").alias("n")), "zone")
     return e.select("zone", F.to_json(F.struct(F.col("zone").alias("id"), F.array("x0", "y0", "x1", "y1").alias("bbox"), F.struct("n").alias("properties"))).alias("item"))
+
+
+@query(f"""SELECT year, count(*) AS tiles, cast(floor(avg(n) * 1000) as bigint) AS mean_milli, quantile_disc(n, 0.5) AS p50, quantile_disc(n, 0.99) AS p99, max(n) AS largest
+FROM (SELECT year, tile_key, count(*) AS n FROM {SQL} GROUP BY year, tile_key) GROUP BY year""")
+def tile_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = parcels(spark, sf_dir).groupBy("year", "tile_key").agg(F.count("*").alias("n"))
+    disc = lambda q: F.expr(f"cast(percentile_disc({q}) WITHIN GROUP (ORDER BY n) as bigint)")
+    return n.groupBy("year").agg(F.count("*").alias("tiles"), F.floor(F.avg("n") * 1000).cast("long").alias("mean_milli"), disc(0.5).alias("p50"), disc(0.99).alias("p99"), F.max("n").alias("largest"))
+
+
+@query(f"""SELECT year, count(*) AS rows, count(DISTINCT status) AS specs, array_to_string(list_sort(list(DISTINCT status)), ',') AS spec_list, count(*) FILTER (WHERE frac_water IS NULL) AS unrecorded,
+count(DISTINCT status) = 1 AND count(*) FILTER (WHERE frac_water IS NULL) = 0 AS uniform FROM {SQL} GROUP BY year""")
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which methods a year's rows come from, and how many do not say."""
+    out = parcels(spark, sf_dir).groupBy("year").agg(F.count("*").alias("rows"), F.array_sort(F.collect_set("status")).alias("s"), F.count_if(F.col("frac_water").isNull()).alias("unrecorded"))
+    specs = F.size("s").cast("long")
+    return out.select("year", "rows", specs.alias("specs"), F.array_join("s", ",").alias("spec_list"), "unrecorded", ((specs == 1) & (F.col("unrecorded") == 0)).alias("uniform"))
+
+
+@query(f"""SELECT n.tile_key, n.score, h.twice_median, h.twice_median > 10 AND 4 * n.score < h.twice_median AS dropped FROM (SELECT tile_key, max(score) AS score FROM {SQL} WHERE year = 1998 GROUP BY tile_key) n
+LEFT JOIN (SELECT tile_key, cast(median(score) * 2 as bigint) AS twice_median FROM {SQL} WHERE year < 1998 GROUP BY tile_key) h USING (tile_key)""")
+def history_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles whose figure fell below half their median of earlier years."""
+    df = parcels(spark, sf_dir)
+    now = df.where("year = 1998").groupBy("tile_key").agg(F.max("score").alias("score"))
+    before = df.where("year < 1998").groupBy("tile_key").agg((F.median("score") * 2).cast("long").alias("twice_median"))
+    return now.join(before, "tile_key", "left").withColumn("dropped", (F.col("twice_median") > 10) & (4 * F.col("score") < F.col("twice_median")))
+
+
+@query(f"""SELECT count(*) FILTER (WHERE f <> '') AS flagged, count(DISTINCT k) AS fingerprints, count(*) AS files, count(*) FILTER (WHERE f <> '') = 0 AND count(DISTINCT k) = 1 AS passes
+FROM (SELECT CASE WHEN n < 2 THEN 'small' ELSE '' END AS f, zone AS k FROM (SELECT zone, tile_key, count(*) AS n FROM {SQL} WHERE year = 1997 GROUP BY zone, tile_key))""")
+def year_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles = parcels(spark, sf_dir).where("year = 1997").groupBy("zone", "tile_key").agg(F.count("*").alias("n"))
+    rated = tiles.select("zone", aggregates.flags(small=F.col("n") < 2).alias("f"))
+    out = rated.agg(F.count_if(F.col("f") != "").alias("flagged"), F.count_distinct("zone").alias("fingerprints"), F.count("*").alias("files"))
+    return out.withColumn("passes", (F.col("flagged") == 0) & (F.col("fingerprints") == 1))
+
+
+@query(f"""SELECT zone, count(*) AS grids, max(n) AS tiles FROM (SELECT zone, column_no, count(DISTINCT tile_key) AS n FROM {SQL} GROUP BY zone, column_no) GROUP BY zone""")
+def grid_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = parcels(spark, sf_dir).groupBy("zone", "column_no").agg(F.count_distinct("tile_key").alias("n"))
+    return n.groupBy("zone").agg(F.count("*").alias("grids"), F.max("n").alias("tiles"))
+
+
+@query(f"""SELECT p.year, count(*) AS rows, min(v.vintage) AS vintage FROM {SQL} p JOIN (SELECT y AS year, y - y % 2 AS vintage FROM (SELECT unnest(range(1990, 2030)) AS y)) v USING (year) GROUP BY p.year""")
+def vintage_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fixed table looked up by year; a year that it lacks is an error, not a null."""
+    known = F.create_map(*(F.lit(x) for y in range(1990, 2030) for x in (y, y - y % 2)))
+    found = F.coalesce(known[F.col("year")], F.raise_error(F.lit("no vintage for the year")).cast("int"))
+    return parcels(spark, sf_dir).withColumn("vintage", found).groupBy("year").agg(F.count("*").alias("rows"), F.min("vintage").cast("long").alias("vintage"))
