@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from parcelspark.session import materialise
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
+def _are_stars(edges: DataFrame) -> bool:
+    """Does every node name one smaller node, and that one none?"""
+    if edges.groupBy("hi").agg(F.count("*").alias("n")).where("n > 1").take(1):
+        return False
+    return not edges.join(edges.select(F.col("hi").alias("lo")), "lo", "left_semi").take(1)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,15 +39,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """
     kept = edges.select(F.col(src).cast("long").alias("a"), F.col(dst).cast("long").alias("b")).where("a is not null and b is not null and a <> b")
     now = materialise(kept.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
-    state = _state(now)
-    for _ in range(max_rounds):
-        if not state[0]:
-            break
+    rounds = 0
+    while not _are_stars(now):
+        if (rounds := rounds + 1) > max_rounds:
+            raise RuntimeError(f"no stars after {max_rounds} rounds")
         now = materialise(_small_star(_large_star(now)), "edges")
-        before, state = state, _state(now)
-        if state == before:
-            break
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     roots = now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)

@@ -50,11 +50,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, and the table
     survives the loss of any executor (unlike cached blocks)."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_tables(spark: SparkSession) -> None:
+    """Delete what this application has materialised, once its results have been written."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by Python workers that would not find it: neither on PYTHONPATH nor
     in the working folder. Spark serves the archive from the driver to every executor."""

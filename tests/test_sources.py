@@ -111,3 +111,13 @@ def test_torn_log_lines_are_dropped(spark, tmp_path):
 
     rows = readers.read_log(spark, str(tmp_path / "log.json"), T.StructType([T.StructField("k", T.StringType()), T.StructField("t", T.LongType())]), "k", "t").collect()
     assert [(r.k, r.t) for r in rows] == [("a", 2)]
+
+
+def test_materialised_tables_can_be_dropped(spark):
+    from parcelspark.session import drop_tables, materialise
+
+    df = materialise(spark.range(3), "three")
+    assert df.count() == 3
+    drop_tables(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(df.inputFiles()[0]).count()
