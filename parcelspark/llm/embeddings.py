@@ -66,7 +66,7 @@ def _cells(spaces: dict[int, Subspaces], vectors: bool):
                 space = spaces[dim]
                 for b, part in enumerate(space.parts(_unit(rows.column("v")))):
                     k = min(g, part.shape[1])
-                    cell = np.floor(part[:, :k] / np.sqrt(space.shares[b])).astype(np.int64)
+                    cell = np.floor(part[:, :k] / np.sqrt(space.shares[b] + 1e-6)).astype(np.int64)  # no narrower than the slack in _compare
                     for offset in _half(k):
                         names = [".".join(map(str, c)) for c in (cell + np.array(offset)).tolist()]
                         n = len(names)
