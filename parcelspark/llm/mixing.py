@@ -132,3 +132,26 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", F.round("mix.weight", 9).alias("weight"), F.round("mix.epochs", 6).alias("epochs"), "mix.n_tokens", "mix.epoch", "mix.block", "mix.block_key", "mix.doc_key")
+
+
+def _sql_key(*parts: str) -> str:
+    return f"cast('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 15) AS bigint)"
+
+
+#: At these defaults the exponent has a closed form: the rarest source is read (most / least) ** (1 - t) times.
+ORACLE_SQL = {
+    "op1_mixing": f"""
+WITH d AS (SELECT doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS bigint) AS n, coalesce(cast(doc_id AS varchar), md5(coalesce(text, ''))) AS ident FROM documents),
+s AS (SELECT source, cast(sum(n) AS double) AS tokens FROM d GROUP BY source),
+e AS (SELECT *, CASE WHEN most / least <= 4 THEN 0 ELSE 1 - ln(4) / ln(most / least) END AS t FROM (SELECT sum(tokens) AS total, min(tokens) / sum(tokens) AS least, max(tokens) / sum(tokens) AS most FROM s WHERE tokens > 0)),
+z AS (SELECT sum(pow(tokens / total, t)) AS z FROM s, e WHERE tokens > 0),
+p AS (SELECT *, floor(epochs + 1e-9) AS whole, greatest(epochs - floor(epochs + 1e-9), 0) * tokens AS rest FROM (SELECT source, tokens, coalesce('s' || source, 'null') AS named, ceil(greatest(tokens, 1) / 65536.0) AS n_blocks,
+ CASE WHEN tokens > 0 THEN pow(tokens / total, t) / z ELSE 0 END AS weight, CASE WHEN tokens > 0 THEN pow(tokens / total, t) / z * (most / (pow(most, t) / z) * total) / tokens ELSE 1 END AS epochs FROM s, e, z)),
+b AS (SELECT d.*, p.* EXCLUDE (source), {_sql_key("7", "ident")} % cast(n_blocks AS bigint) AS block FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+k AS (SELECT *, {_sql_key("7", "named", "block", "cast(whole AS bigint)")} AS own FROM b),
+c AS (SELECT named, block, own, max(rest) AS rest, sum(n) AS n FROM k GROUP BY named, block, own),
+l AS (SELECT named, max(own) AS last FROM (SELECT named, own, rest, sum(n) OVER (PARTITION BY named ORDER BY own, block) AS upto FROM c) WHERE upto <= rest + 1e-6 GROUP BY named),
+m AS (SELECT k.*, cast(whole AS bigint) + CASE WHEN own <= last THEN 1 ELSE 0 END AS copies FROM k LEFT JOIN l USING (named)),
+r AS (SELECT *, unnest(range(copies)) AS epoch FROM m WHERE copies > 0)
+SELECT doc_id, source, round(weight, 9) AS weight, round(epochs, 6) AS epochs, n AS n_tokens, epoch, block, {_sql_key("7", "named", "block", "epoch")} AS block_key, {_sql_key("7", "ident", "epoch")} AS doc_key FROM r"""
+}
