@@ -69,10 +69,11 @@ def ship_package(spark: SparkSession) -> None:
     reach = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
     if any(p and Path(p).resolve() == root for p in reach) or spark.conf.get("parcelspark.shipped", None):
         return
-    with tempfile.TemporaryDirectory() as d:
-        archive = Path(d) / "parcelspark.zip"
-        with zipfile.ZipFile(archive, "w") as z:
-            for p in sorted((root / "parcelspark").rglob("*.py")):
-                z.write(p, p.relative_to(root))
-        spark.sparkContext.addPyFile(str(archive))
+    folder = tempfile.mkdtemp(prefix="parcelspark-ship-")  # the driver serves it to executors until it ends
+    atexit.register(shutil.rmtree, folder, True)
+    archive = Path(folder) / "parcelspark.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted((root / "parcelspark").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
     spark.conf.set("parcelspark.shipped", "true")
