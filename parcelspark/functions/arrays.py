@@ -290,3 +290,37 @@ def window_parcels(labels: np.ndarray, at: tuple[int, int], core: tuple[int, int
         if core[0] <= y < core[2] and core[1] <= x < core[3]:
             out[k] = moved, k in rim
     return out
+
+
+def area_mean(x: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """A smaller raster of the means over each pixel's area, pixels that it cuts counted by their part; halves up."""
+
+    def weights(n: int, m: int) -> np.ndarray:
+        edge = np.arange(m + 1) * (n / m)
+        w = np.minimum(edge[1:, None], np.arange(1, n + 1)) - np.maximum(edge[:-1, None], np.arange(n))
+        w = np.maximum(w, 0)
+        return w / w.sum(1, keepdims=True)
+
+    return np.floor(weights(x.shape[0], shape[0]) @ x.astype(np.float64) @ weights(x.shape[1], shape[1]).T + 0.5).astype(x.dtype)
+
+
+def sampled(x: np.ndarray, rows: np.ndarray, cols: np.ndarray, how: str = "nearest") -> np.ndarray:
+    """Values at fractional places (pixel centres are whole numbers): nearest or bilinear; NaN outside."""
+    inside = (rows >= -0.5) & (rows <= x.shape[0] - 0.5) & (cols >= -0.5) & (cols <= x.shape[1] - 0.5)
+    r, c = np.clip(rows, 0, x.shape[0] - 1), np.clip(cols, 0, x.shape[1] - 1)
+    if how == "nearest":
+        out = x[np.floor(r + 0.5).astype(int), np.floor(c + 0.5).astype(int)].astype(np.float64)
+    else:
+        r0, c0 = np.minimum(r.astype(int), max(x.shape[0] - 2, 0)), np.minimum(c.astype(int), max(x.shape[1] - 2, 0))
+        r1, c1 = np.minimum(r0 + 1, x.shape[0] - 1), np.minimum(c0 + 1, x.shape[1] - 1)
+        a, b = r - r0, c - c0
+        out = x[r0, c0] * (1 - a) * (1 - b) + x[r0, c1] * (1 - a) * b + x[r1, c0] * a * (1 - b) + x[r1, c1] * a * b
+    return np.where(inside, out, np.nan)
+
+
+def block_mode(x: np.ndarray, size: int) -> np.ndarray:
+    """The commonest value of each size x size cell (the least, if they tie); whole cells only."""
+    h, w = x.shape[0] // size, x.shape[1] // size
+    cells = np.sort(x[: h * size, : w * size].reshape(h, size, w, size).transpose(0, 2, 1, 3).reshape(h, w, -1), axis=2)
+    n = (cells[..., :, None] == cells[..., None, :]).sum(-1)
+    return np.take_along_axis(cells, n.argmax(2)[..., None], 2)[..., 0]

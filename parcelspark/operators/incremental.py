@@ -43,3 +43,10 @@ def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
 def run_stale(current: DataFrame, state: DataFrame, by: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """`work` on the stale partitions' keys; nothing when all are up to date."""
     return work(stale(current, state, by))
+
+
+def changed_meanwhile(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Names whose size or time differs between two listings (name, size, modified), or that one lacks: a run
+    between them must be thrown away."""
+    a, b = (d.select("name", F.struct("size", "modified").alias(n)) for d, n in ((before, "a"), (after, "b")))
+    return a.join(b, "name", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("name")

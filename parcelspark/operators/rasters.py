@@ -56,3 +56,20 @@ def histogram_percentiles(df: DataFrame, value: str, shares: list[float]) -> Dat
     run = hist.withColumn("upto", F.sum("n").over(Window.orderBy("value"))).withColumn("all", F.sum("n").over(Window.partitionBy()))
     each = run.agg(*(F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("value"))).alias(str(i)) for i, q in enumerate(shares)))
     return each.select(F.explode(F.array(*(F.struct(F.lit(q).alias("share"), F.col(str(i)).alias("value")) for i, q in enumerate(shares)))).alias("r")).select("r.*")
+
+
+def sample_layer(pixels: DataFrame, layer: DataFrame, factor: int, value: str, by: list[str]) -> DataFrame:
+    """`pixels` with the value of a coarser layer's cell (row, col) that each lies in; null where there is none."""
+    cells = layer.select(*by, F.col("row").alias("_r"), F.col("col").alias("_c"), F.col("value").alias(value))
+    cell = lambda c: F.floor(F.col(c) / factor).cast("long")
+    return pixels.withColumn("_r", cell("row")).withColumn("_c", cell("col")).join(cells, [*by, "_r", "_c"], "left").drop("_r", "_c")
+
+
+def class_areas(pixels: DataFrame, classes: dict[str, list[int]], cell_area: float, *by: str) -> DataFrame:
+    """Area of each named set of classes."""
+    return pixels.groupBy(*by).agg(*(F.count_if(F.col("value").isin(*v)).cast("double").alias(k) for k, v in classes.items())).withColumns({k: F.col(k) * cell_area for k in classes})
+
+
+def band_stats(pixels: DataFrame, value: str, *by: str) -> DataFrame:
+    """Minimum, maximum, mean, deviation of the population, and percent of values that are valid."""
+    return pixels.groupBy(*by).agg(F.min(value).alias("minimum"), F.max(value).alias("maximum"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("stddev"), (F.count(value) * 100.0 / F.count("*")).alias("valid_percent"))

@@ -69,3 +69,39 @@ def search(spark: SparkSession, transport: Transport, url: str, bodies: list[dic
 
     df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)], "part int, body string")
     return df.repartition(max(1, len(bodies)), "part").mapInArrow(run, "part int, feature string")
+
+
+def retried(transport: Transport, attempts: int = 6, pause: Callable[[int], None] = lambda _: None) -> Transport:
+    """A transport that tries again after connection errors; what is absent stays absent at once."""
+
+    def call(method: str, url: str, body: dict | None) -> dict:
+        for i in range(attempts):
+            try:
+                return transport(method, url, body)
+            except ConnectionError:
+                if i + 1 == attempts:
+                    raise
+                pause(i)
+        raise AssertionError("unreachable")
+
+    return call
+
+
+def probe(urls: DataFrame, head: Callable[[str], tuple[int, int]], absent: frozenset[int] = frozenset({403, 404})) -> DataFrame:
+    """`(url, size)` of a column of urls: size is null where the store says there is none; any other failure
+    of `head` (url to status and size) is an error."""
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            sizes = []
+            for url in batch.column(0).to_pylist():
+                status, size = head(url)
+                try:
+                    checked_status(status, absent)
+                    sizes.append(size)
+                except Absent:
+                    sizes.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["url", "size"])
+
+    return urls.select("url").mapInArrow(run, "url string, size long")

@@ -116,3 +116,23 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType, key: str, ord
 
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).where(F.col(key).isNotNull())
     return latest(rows, key, order)
+
+
+def read_objects(spark: SparkSession, root: str, expected: DataFrame, pattern: str = "*") -> DataFrame:
+    """`(name, content)` of expected files (name, size, sha256); another size or digest is an error, an
+    expected file that is not there has null content."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
+    found = found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "content")
+    joined = expected.join(found, "name", "left")
+    whole = F.col("content").isNull() | ((F.col("length") == F.col("size")) & (F.sha2("content", 256) == F.col("sha256")))
+    return checked(joined, size_and_digest=whole).select("name", "content")
+
+
+def stack_bands(blocks: DataFrame, by: list[str], bands: list[str], grid: list[str]) -> DataFrame:
+    """One row a block with its bands' data in the order of `bands`; another grid, or a band that is missing
+    or there twice, is an error."""
+    place = F.array_position(F.array(*(F.lit(b) for b in bands)), F.col("band")) - 1
+    rows = checked(blocks, known_band=F.col("band").isin(*bands)).withColumn("_at", place)
+    out = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_at", "data"))).alias("_s"), F.count_distinct(F.struct(*grid)).alias("_g"), F.count_distinct("band").alias("_b"), *(F.first(c).alias(c) for c in grid))
+    whole = (F.size("_s") == len(bands)) & (F.col("_b") == len(bands))
+    return checked(out, one_grid=F.col("_g") == 1, all_bands=whole).select(*by, *grid, F.transform("_s", lambda x: x["data"]).alias("bands"))

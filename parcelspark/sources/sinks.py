@@ -70,3 +70,100 @@ def changed_objects(local: DataFrame, remote: DataFrame) -> DataFrame:
     r = remote.select("key", F.col("size").alias("_size"), F.regexp_replace("etag", '"', "").alias("_etag"))
     same = (F.col("size") == F.col("_size")) & ((F.col("md5") == F.col("_etag")) | F.col("_etag").contains("-"))
     return local.join(r, "key", "left").where(~F.coalesce(same, F.lit(False))).select(*local.columns)
+
+
+def stamp(spark, root: str, metadata: dict[str, str], casts: dict[str, str] | None = None) -> DataFrame:
+    """Give each Parquet file below `root` footer entries (and columns that Spark cannot write, such as
+    uint8), keeping row groups and compression: rewritten beside the file, then moved over it. Runs on
+    executors; returns `(path, n_rows)`. A file that already has the entries is left alone."""
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    wanted = {k.encode(): v.encode() for k, v in metadata.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                fs, name = pa.fs.FileSystem.from_uri(path)
+                with fs.open_input_file(name) as f:
+                    source = pq.ParquetFile(f)
+                    schema = source.schema_arrow
+                    for column, kind in (casts or {}).items():
+                        i = schema.get_field_index(column)
+                        schema = schema.set(i, schema.field(i).with_type(pa.type_for_alias(kind)))
+                    rows.append((path, source.metadata.num_rows))
+                    if wanted.items() <= (schema.metadata or {}).items() and schema.equals(source.schema_arrow):
+                        continue
+                    schema = schema.with_metadata((schema.metadata or {}) | wanted)
+                    folder, base = name.rsplit("/", 1)
+                    with pq.ParquetWriter(fs.open_output_stream(f"{folder}/.{base}.stamp"), schema, compression="zstd") as out:
+                        for g in range(source.num_row_groups):
+                            out.write_table(source.read_row_group(g).cast(schema), row_group_size=1 << 30)
+                sums = f"{folder}/.{base}.crc"  # a local folder's checksum is of the old bytes
+                if fs.get_file_info(sums).type != pa.fs.FileType.NotFound:
+                    fs.delete_file(sums)
+                fs.move(f"{folder}/.{base}.stamp", name)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["path", "n_rows"])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(root).select("path")
+    return files.mapInArrow(run, "path string, n_rows long")
+
+
+def geo_footer(box: tuple[float, float, float, float] | None, geometry: str = "geometry", crs: str = "OGC:CRS84") -> dict[str, str]:
+    """The `geo` entry of a file of polygons in WKB with a bbox column."""
+    column: dict = {"encoding": "WKB", "geometry_types": ["Polygon", "MultiPolygon"], "crs": {"id": {"authority": crs.split(":")[0], "code": crs.split(":")[1]}}}
+    column["covering"] = {"bbox": {k: ["bbox", k] for k in ("xmin", "ymin", "xmax", "ymax")}}
+    if box is not None:
+        column["bbox"] = list(box)
+    return {"geo": json.dumps({"version": "1.1.0", "primary_column": geometry, "columns": {geometry: column}}, sort_keys=True)}
+
+
+def _files(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def clear_partition(spark, root: str, **values: object) -> bool:
+    """Remove one partition's folder: what a run that kept no row must leave. True if there was one."""
+    p, fs = _files(spark, "/".join([root.rstrip("/"), *(f"{k}={v}" for k, v in values.items())]))
+    return bool(fs.delete(p, True))
+
+
+def swap(spark, staged: dict[str, str]) -> None:
+    """Put staged folders in their targets' places, once every one is complete (has _SUCCESS)."""
+    for source in staged:
+        p, fs = _files(spark, f"{source}/_SUCCESS")
+        if not fs.exists(p):
+            raise ValueError(f"{source} is not complete")
+    for source, target in staged.items():
+        (a, fs), (b, _) = _files(spark, source), _files(spark, target)
+        fs.delete(b, True)
+        fs.mkdirs(b.getParent())
+        if not fs.rename(a, b):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
+def write_compact(df: DataFrame, path: str, by: str) -> None:
+    """Delta-encoded integer lists (see geo.compact) without dictionaries, one file for each value of `by`."""
+    writer = df.repartition(by).sortWithinPartitions(by).write.mode("overwrite").options(**_COMMON).partitionBy(by)
+    writer.option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "false").parquet(path)
+
+
+def write_report(df: DataFrame, path: str, kind: str = "json") -> None:
+    """A small report as one JSON or CSV file."""
+    one = df.coalesce(1).write.mode("overwrite")
+    (one.option("header", True).csv if kind == "csv" else one.json)(path)
+
+
+def relayout_plan(objects: DataFrame, target: Column) -> DataFrame:
+    """`(key, target, action)`: copy what is not at its target yet, delete the old of what is there in full."""
+    named = objects.select("key", "size", target.alias("target"))
+    there = objects.select(F.col("key").alias("target"), F.col("size").alias("_there"))
+    moved = named.where(F.col("target") != F.col("key")).join(there, "target", "left")
+    return moved.select("key", "target", F.when(F.col("_there") == F.col("size"), "delete").otherwise("copy").alias("action"))
