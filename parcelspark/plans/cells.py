@@ -15,8 +15,8 @@ _CELLS = f"(SELECT cast(floor((x0 + x1) / 2 / {FINE}) as bigint) AS cell_x, cast
 _UP = f"(SELECT cast(floor((cell_x * {FINE} + {FINE // 2}) / {COARSE}) as bigint) AS cell_x, cast(floor((cell_y * {FINE} + {FINE // 2}) / {COARSE}) as bigint) AS cell_y, cast(sum(n) as bigint) AS n, cast(sum(area) as bigint) AS area, cast(sum(score_sum) as bigint) AS score_sum FROM {_CELLS} GROUP BY ALL)"
 
 
-def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = parcels(spark, sf_dir).withColumn("cx", (F.col("x0") + F.col("x1")) / 2).withColumn("cy", (F.col("y0") + F.col("y1")) / 2)
+def _cells(spark: SparkSession, sf_dir: str, rows: str = "true") -> DataFrame:
+    df = parcels(spark, sf_dir).where(rows).withColumn("cx", (F.col("x0") + F.col("x1")) / 2).withColumn("cy", (F.col("y0") + F.col("y1")) / 2)
     return aggregates.cell_aggregate(df, FINE)
 
 
@@ -37,12 +37,15 @@ def cell_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.join(a, ["cell_x", "cell_y"]).select("cell_x", "cell_y", "n", F.floor(F.col("density") * 1000).cast("long").alias("density_milli"), F.floor(F.col("score_sum") * 100 / F.col("n")).cast("long").alias("score_centi"), "pct")
 
 
-@query(f"""WITH old AS (SELECT cell_x, cell_y, CASE WHEN cell_x % 5 = 0 THEN n + 1 ELSE n END AS n FROM {_CELLS} WHERE cell_y % 7 <> 0)
+_OLD = _CELLS.replace(f"FROM {SQL} GROUP", f"FROM {SQL} WHERE status <> 'P' GROUP")
+
+
+@query(f"""WITH old AS (SELECT cell_x, cell_y, n FROM {_OLD})
 SELECT count(*) AS cells, count(*) FILTER (WHERE o.n IS NULL) AS unmatched, count(*) FILTER (WHERE o.n <> g.n) AS differing, cast(max(abs(o.n - g.n)) as bigint) AS largest FROM {_CELLS} g LEFT JOIN old o USING (cell_x, cell_y)""")
 def cell_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _cells(spark, sf_dir)
-    old = g.where("cell_y % 7 <> 0").select("cell_x", "cell_y", F.when(F.col("cell_x") % 5 == 0, F.col("n") + 1).otherwise(F.col("n")).alias("o"))
-    j = g.join(old, ["cell_x", "cell_y"], "left")
+    """A new aggregation against an earlier one (of the rows that were there then)."""
+    old = _cells(spark, sf_dir, "status <> 'P'").select("cell_x", "cell_y", F.col("n").alias("o"))
+    j = _cells(spark, sf_dir).join(old, ["cell_x", "cell_y"], "left")
     return j.agg(F.count("*").alias("cells"), F.count_if(F.col("o").isNull()).alias("unmatched"), F.count_if(F.col("o") != F.col("n")).alias("differing"), F.max(F.abs(F.col("o") - F.col("n"))).alias("largest"))
 
 

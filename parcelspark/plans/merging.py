@@ -11,11 +11,11 @@ from parcelspark.plans.view import SQL, parcels, table
 
 MAX_AREA, MAX_WATER = 20_000_000, 70
 _KEEP = f"in_utm_zone AND in_mgrs_square AND area <= {MAX_AREA} AND coalesce(frac_water, 0) < {MAX_WATER}"
-_AUX = "(SELECT o_orderkey AS id, cast(o_orderkey % 17 as bigint) AS patch_mean FROM orders WHERE o_orderkey % 3 = 0)"
+_AUX = "(SELECT o_orderkey AS id, cast(o_orderkey % 17 as bigint) AS patch_mean FROM orders WHERE o_orderstatus = 'F')"
 
 
 def _aux(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"), F.expr("cast(o_orderkey % 17 as bigint)").alias("patch_mean"))
+    return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"), F.expr("cast(o_orderkey % 17 as bigint)").alias("patch_mean"))
 
 
 @query(f"SELECT id, zone, tile_key, area, frac_water FROM {SQL} WHERE {_KEEP}")
@@ -89,9 +89,9 @@ def join_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.override(parcels(spark, sf_dir).select("id", "score"), by, "id", ["score"])
 
 
-@query(f"""SELECT zone, count(*) AS n, cast(sum(size) as bigint) AS size FROM (SELECT zone, o_n, size FROM (SELECT zone, id AS o_n, area % 1000 AS size FROM {SQL} WHERE id % 2 = 0)) GROUP BY zone""")
+@query(f"""SELECT zone, count(*) AS n, cast(sum(size) as bigint) AS size FROM (SELECT zone, o_n, size FROM (SELECT zone, id AS o_n, area % 1000 AS size FROM {SQL})) GROUP BY zone""")
 def footer_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parcels(spark, sf_dir).where("id % 2 = 0").groupBy("zone").agg(F.count("*").alias("n"), F.sum(F.expr("area % 1000")).alias("size"))
+    return parcels(spark, sf_dir).groupBy("zone").agg(F.count("*").alias("n"), F.sum(F.expr("area % 1000")).alias("size"))
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,25 +107,25 @@ def zone_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.fingerprints(_inputs(spark, sf_dir), "zone", "area <= 5")
 
 
-@query(f"SELECT zone, fingerprint FROM {_PRINT} WHERE cast(zone as int) % 4 = 0")
+@query(f"SELECT zone, fingerprint FROM {_PRINT} WHERE zone < '16'")
 def stale_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = incremental.fingerprints(_inputs(spark, sf_dir), "zone", "area <= 5")
-    state = now.withColumn("fingerprint", F.when(F.col("zone").cast("int") % 4 == 0, F.lit("old")).otherwise(F.col("fingerprint")))
+    state = now.withColumn("fingerprint", F.when(F.col("zone") < "16", F.lit("old")).otherwise(F.col("fingerprint")))
     return incremental.stale(now, state, "zone")
 
 
-@query(f"""SELECT zone, CASE WHEN cast(zone as int) % 4 = 0 THEN n ELSE n + 1 END AS n, cast(zone as int) % 4 <> 0 AS skipped FROM (SELECT zone, count(*) AS n FROM {SQL} GROUP BY zone)""")
+@query(f"""SELECT zone, CASE WHEN zone < '16' THEN n ELSE n + 1 END AS n, zone >= '16' AS skipped FROM (SELECT zone, count(*) AS n FROM {SQL} GROUP BY zone)""")
 def carried_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = parcels(spark, sf_dir).groupBy("zone").agg(F.count("*").alias("n"))
     state = counts.withColumn("n", F.col("n") + 1)
-    return incremental.carried(counts, state, counts.where("cast(zone as int) % 4 = 0"), "zone", ["n"])
+    return incremental.carried(counts, state, counts.where("zone < '16'"), "zone", ["n"])
 
 
 @query(f"""WITH z AS (SELECT DISTINCT zone, cast(zone as int) AS n FROM {SQL}) SELECT a.zone, b.n AS beside FROM z a JOIN z b
-ON (b.n = a.n % 60 + 1 OR b.n = (a.n + 58) % 60 + 1) WHERE a.n % 4 <> 0 AND b.n % 4 = 0""")
+ON (b.n = a.n % 60 + 1 OR b.n = (a.n + 58) % 60 + 1) WHERE a.n >= 16 AND b.n < 16""")
 def mixed_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = parcels(spark, sf_dir).select("zone").distinct()
-    return incremental.mixed_neighbours(zones.withColumn("skipped", F.col("zone").cast("int") % 4 != 0))
+    return incremental.mixed_neighbours(zones.withColumn("skipped", F.col("zone").cast("int") >= 16))
 
 
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")

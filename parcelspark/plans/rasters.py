@@ -66,11 +66,11 @@ def longest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.longest_run(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], F.col("event_type").isin("click", "view"))
 
 
-_VALUES = "(SELECT user_id, event_id, cast(round(value * 100) as bigint) AS v FROM events)"
+_VALUES = "(SELECT user_id, event_id, event_type, cast(round(value * 100) as bigint) AS v FROM events)"
 
 
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("user_id", "event_id", F.round(F.col("value") * 100).cast("long").alias("v"))
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("v"))
 
 
 @query(f"SELECT user_id, event_id, abs(v - lag(v) OVER (PARTITION BY user_id ORDER BY event_id)) AS step FROM {_VALUES}")
@@ -79,9 +79,9 @@ def step_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""SELECT user_id, event_id, n_valid, CASE WHEN n_valid >= 8 THEN cast(floor(s / n_valid) as bigint) END AS mean FROM (SELECT user_id, event_id, count(v) OVER w AS n_valid, sum(v) OVER w AS s
-FROM (SELECT user_id, event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE v END AS v FROM {_VALUES}) WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING))""")
+FROM (SELECT user_id, event_id, CASE WHEN event_type <> 'view' THEN v END AS v FROM {_VALUES}) WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING))""")
 def moving_mean_min_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gaps = _values(spark, sf_dir).withColumn("v", F.when(F.col("event_id") % 3 != 0, F.col("v")))
+    gaps = _values(spark, sf_dir).withColumn("v", F.when(F.col("event_type") != "view", F.col("v")))
     return rasters.moving_mean(gaps, ["user_id"], ["event_id"], "v", 15, 8).select("user_id", "event_id", "n_valid", F.floor("mean").cast("long").alias("mean"))
 
 

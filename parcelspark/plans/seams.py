@@ -62,17 +62,17 @@ def tile_extents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.extents(parcels(spark, sf_dir), "tile_key")
 
 
-_ZONES = f"(SELECT zone, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM {SQL} WHERE id % 600 < cast(zone as int) * 8 AND y0 < 100 GROUP BY zone)"
-_STRIPS = f"""(SELECT a.zone AS za, b.zone AS zb, greatest(a.x0, b.x0) - 1 AS x0, greatest(a.y0, b.y0) - 1 AS y0, least(a.x1, b.x1) + 1 AS x1, least(a.y1, b.y1) + 1 AS y1
-FROM {_ZONES} a JOIN {_ZONES} b ON a.zone < b.zone AND {_MEET})"""
+_SHEETS = f"(SELECT x0 // 300 AS sheet, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM {SQL} GROUP BY x0 // 300)"
+_STRIPS = f"""(SELECT a.sheet AS sa, b.sheet AS sb, greatest(a.x0, b.x0) - 1 AS x0, greatest(a.y0, b.y0) - 1 AS y0, least(a.x1, b.x1) + 1 AS x1, least(a.y1, b.y1) + 1 AS y1
+FROM {_SHEETS} a JOIN {_SHEETS} b ON a.sheet < b.sheet AND {_MEET})"""
 
 
 def _strips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Padded rectangles where the extents of two zones overlap: as many as neighbouring zones, not parcels."""
-    e = aggregates.extents(parcels(spark, sf_dir).where("id % 600 < cast(zone as int) * 8 AND y0 < 100"), "zone")
-    both = e.alias("a").join(e.alias("b"), (F.col("a.zone") < F.col("b.zone")) & joins.boxes_meet("a", "b"))
+    """Padded rectangles where the extents of two map sheets overlap: as many as neighbouring sheets."""
+    e = aggregates.extents(parcels(spark, sf_dir).withColumn("sheet", F.floor(F.col("x0") / 300).cast("long")), "sheet")
+    both = e.alias("a").join(e.alias("b"), (F.col("a.sheet") < F.col("b.sheet")) & joins.boxes_meet("a", "b"))
     edge = lambda f, c, d: (f(f"a.{c}", f"b.{c}") + d).alias(c)
-    return both.select(F.col("a.zone").alias("za"), F.col("b.zone").alias("zb"), edge(F.greatest, "x0", -1), edge(F.greatest, "y0", -1), edge(F.least, "x1", 1), edge(F.least, "y1", 1))
+    return both.select(F.col("a.sheet").alias("sa"), F.col("b.sheet").alias("sb"), edge(F.greatest, "x0", -1), edge(F.greatest, "y0", -1), edge(F.least, "x1", 1), edge(F.least, "y1", 1))
 
 
 @query(f"SELECT * FROM {_STRIPS}")
@@ -80,28 +80,23 @@ def tile_overlap_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _strips(spark, sf_dir)
 
 
-_FEW = f"(SELECT * FROM {_STRIPS} WHERE za = '01' AND zb < '06')"
 _IN = "EXISTS (SELECT 1 FROM s WHERE d.x0 <= s.x1 AND d.x1 >= s.x0 AND d.y0 <= s.y1 AND d.y1 >= s.y0)"
 
 
-def _few(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _strips(spark, sf_dir).where("za = '01' AND zb < '06'")
-
-
-@query(f"WITH s AS {_FEW} SELECT id FROM {SQL} d WHERE {_IN}")
+@query(f"WITH s AS {_STRIPS} SELECT id FROM {SQL} d WHERE {_IN}")
 def strip_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.in_any_box(parcels(spark, sf_dir), _few(spark, sf_dir)).select("id")
+    return joins.in_any_box(parcels(spark, sf_dir), _strips(spark, sf_dir)).select("id")
 
 
-@query(f"WITH s AS {_FEW} SELECT id FROM {SQL} d WHERE NOT {_IN}")
+@query(f"WITH s AS {_STRIPS} SELECT id FROM {SQL} d WHERE NOT {_IN}")
 def strip_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.in_any_box(parcels(spark, sf_dir), _few(spark, sf_dir), keep=False).select("id")
+    return joins.in_any_box(parcels(spark, sf_dir), _strips(spark, sf_dir), keep=False).select("id")
 
 
-@query(f"WITH s AS (SELECT tile_key AS tk, min(x0) AS x0, min(y0) AS y0, max(x0) AS x1, min(y0) AS y1 FROM {SQL} WHERE id % 5 = 0 GROUP BY tile_key) SELECT id FROM {SQL} d WHERE EXISTS (SELECT 1 FROM s WHERE s.tk = d.tile_key AND d.x0 <= s.x1 AND d.x1 >= s.x0 AND d.y0 <= s.y1 AND d.y1 >= s.y0)")
+@query(f"WITH s AS (SELECT tile_key AS tk, min(x0) AS x0, min(y0) AS y0, max(x0) AS x1, min(y0) AS y1 FROM {SQL} WHERE status = 'P' GROUP BY tile_key) SELECT id FROM {SQL} d WHERE EXISTS (SELECT 1 FROM s WHERE s.tk = d.tile_key AND d.x0 <= s.x1 AND d.x1 >= s.x0 AND d.y0 <= s.y1 AND d.y1 >= s.y0)")
 def tile_box_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = parcels(spark, sf_dir)
-    boxes = df.where("id % 5 = 0").groupBy("tile_key").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x0").alias("x1"), F.min("y0").alias("y1"))
+    boxes = df.where("status = 'P'").groupBy("tile_key").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x0").alias("x1"), F.min("y0").alias("y1"))
     return joins.in_any_box(df, boxes, on=["tile_key"]).select("id")
 
 
