@@ -88,3 +88,42 @@ def drift(before: DataFrame, after: DataFrame, key: str, area: str, limit: float
     """Rows whose area changed by more than a share."""
     a, b = before.select(key, F.col(area).alias("before")), after.select(key, F.col(area).alias("after"))
     return a.join(b, key).where(F.abs(F.col("after") - F.col("before")) > limit * F.col("before"))
+
+
+def thumbnails(blocks: DataFrame, size: int, colours: list[str], edges: list[float], floor: float) -> DataFrame:
+    """`(tile_key, png)`: score blocks (tile_key, height, width, dtype, data) as area means of at most `size`
+    pixels a side, painted by the ramp."""
+    from parcelspark.functions.colour import painted, ramp
+    from parcelspark.sources.formats import png_bytes
+
+    first, anchors = ramp(colours, edges, floor)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                x = unblock(r["height"], r["width"], r["dtype"], r["data"])
+                f = max(1, -(-max(x.shape) // size))
+                out.append(png_bytes(painted(arrays.area_mean(x, (-(-x.shape[0] // f), -(-x.shape[1] // f))), first, anchors)))
+            yield pa.RecordBatch.from_arrays([batch.column("tile_key"), pa.array(out, pa.binary())], ["tile_key", "png"])
+
+    return blocks.mapInArrow(run, "tile_key string, png binary")
+
+
+def score_rasters(blocks: DataFrame, tile: int = 256) -> DataFrame:
+    """`(tile_key, tiff)`: two-band score blocks (tile_key, height, width, dtype, data with the bands one after
+    the other) as tiled TIFFs with overviews, each read back before it is returned."""
+    from parcelspark.sources.formats import tiff_bytes, tiff_pixels
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                bands = np.frombuffer(r["data"], np.uint8).reshape(2, r["height"], r["width"])
+                data = tiff_bytes(bands, tile)
+                if not (tiff_pixels(data) == bands).all():
+                    raise ValueError(f"{r['tile_key']} does not read back")
+                out.append(data)
+            yield pa.RecordBatch.from_arrays([batch.column("tile_key"), pa.array(out, pa.binary())], ["tile_key", "tiff"])
+
+    return blocks.mapInArrow(run, "tile_key string, tiff binary")

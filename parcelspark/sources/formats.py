@@ -154,3 +154,125 @@ def read_png_stats(spark: SparkSession, root: str) -> DataFrame:
         return [(image.shape[1], image.shape[0], float(1 - n.max() / n.sum()), float(image.mean()))]
 
     return _parsed(spark, root, "*.png", "path string, width int, height int, ink double, mean double", stats)
+
+
+def pmtiles_header(data: bytes) -> dict[str, float]:
+    """Counts, zooms and bounds of a tile archive (version 3), and where its root directory is."""
+    if data[:7] != b"PMTiles" or data[7] != 3:
+        raise ValueError("no tile archive")
+    root, size = struct.unpack_from("<2Q", data, 8)
+    addressed, entries, contents = struct.unpack_from("<3Q", data, 72)
+    west, south, east, north = (x / 1e7 for x in struct.unpack_from("<4i", data, 102))
+    return {"root": root, "root_size": size, "tiles": addressed, "entries": entries, "contents": contents, "packing": data[97], "min_zoom": data[100], "max_zoom": data[101], "west": west, "south": south, "east": east, "north": north}
+
+
+def pmtiles_directory(data: bytes, packing: int = 1) -> list[tuple[int, int, int, int]]:
+    """(first tile id, tiles, size, offset) of a directory's entries; run length 0 points to a further directory."""
+    if packing == 2:
+        data = zlib.decompress(data, 31)
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+
+    n = number()
+    ids = np.cumsum([number() for _ in range(n)]).tolist() if n else []
+    runs, sizes = [number() for _ in range(n)], [number() for _ in range(n)]
+    offsets: list[int] = []
+    for i in range(n):
+        x = number()
+        offsets.append(offsets[-1] + sizes[i - 1] if x == 0 and i else x - 1)
+    return list(zip(ids, runs, sizes, offsets, strict=True))
+
+
+def read_pmtiles(spark: SparkSession, root: str) -> DataFrame:
+    """One row an archive: `(path, tiles, entries, min_zoom, max_zoom, west, south, east, north, largest)`; largest is
+    the size of the largest tile that the root directory names."""
+
+    def parse(data: bytes) -> list[tuple]:
+        h = pmtiles_header(data)
+        directory = pmtiles_directory(data[h["root"] : h["root"] + h["root_size"]], h["packing"])
+        return [(h["tiles"], h["entries"], h["min_zoom"], h["max_zoom"], h["west"], h["south"], h["east"], h["north"], max((s for _, r, s, _ in directory if r), default=0))]
+
+    return _parsed(spark, root, "*.pmtiles", "path string, tiles long, entries long, min_zoom int, max_zoom int, west double, south double, east double, north double, largest long", parse)
+
+
+def png_bytes(image: np.ndarray) -> bytes:
+    """An 8-bit PNG of a (h, w, 1, 3 or 4) uint8 image."""
+    h, w, c = image.shape
+    chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    lines = np.concatenate([np.zeros((h, 1), np.uint8), image.reshape(h, w * c)], axis=1)
+    head = struct.pack(">IIBBBBB", w, h, 8, {1: 0, 3: 2, 4: 6}[c], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes(), 9)) + chunk(b"IEND", b"")
+
+
+def tiff_bytes(bands: np.ndarray, tile: int = 256, factors: tuple[int, ...] = (4, 8, 16, 32, 64)) -> bytes:
+    """A tiled, deflated TIFF of (bands, h, w) uint8 with overviews of area means, each level from the one
+    before; levels of less than a pixel are left out."""
+    from parcelspark.functions.arrays import area_mean
+
+    levels, (h, w) = [bands], bands.shape[1:]
+    for f in (f for f in factors if h // f and w // f):
+        levels.append(np.stack([area_mean(b, (-(-h // f), -(-w // f))) for b in levels[-1]]))
+    out = bytearray(struct.pack("<2sHI", b"II", 42, 8))
+    for i, x in enumerate(levels):
+        n, rows, cols = x.shape
+        across, down = -(-cols // tile), -(-rows // tile)
+        padded = np.zeros((n, down * tile, across * tile), np.uint8)
+        padded[:, :rows, :cols] = x
+        blocks = [zlib.compress(padded[:, r * tile : r * tile + tile, c * tile : c * tile + tile].transpose(1, 2, 0).tobytes(), 6) for r in range(down) for c in range(across)]
+        tags: list[tuple[int, int, list[int]]] = [
+            (254, 4, [int(i > 0)]), (256, 4, [cols]), (257, 4, [rows]), (258, 3, [8] * n), (259, 3, [8]), (262, 3, [1]), (277, 3, [n]), (284, 3, [1]), (322, 4, [tile]), (323, 4, [tile]),
+            (324, 4, [0] * len(blocks)), (325, 4, [len(b) for b in blocks]), (338, 3, [0] * (n - 1)), (339, 3, [1] * n),
+        ]
+        tags = [t for t in tags if t[2]]
+        start, spill = len(out), len(out) + 2 + 12 * len(tags) + 4
+        width = {3: 2, 4: 4}
+        extra = sum(width[k] * len(v) for _, k, v in tags if width[k] * len(v) > 4)
+        at = spill + extra
+        for t in tags:
+            if t[0] == 324:
+                for j, b in enumerate(blocks):
+                    t[2][j] = at
+                    at += len(b)
+        entries, beyond = b"", b""
+        for tag, kind, values in tags:
+            raw = struct.pack(f"<{len(values)}{'H' if kind == 3 else 'I'}", *values)
+            entries += struct.pack("<HHI", tag, kind, len(values)) + (raw.ljust(4, b"\0") if len(raw) <= 4 else struct.pack("<I", spill + len(beyond)))
+            beyond += raw if len(raw) > 4 else b""
+        out += struct.pack("<H", len(tags)) + entries + struct.pack("<I", at if i + 1 < len(levels) else 0) + beyond + b"".join(blocks)
+        if start % 2 and i:
+            raise AssertionError("an image must start at an even place")
+        if len(out) % 2 and i + 1 < len(levels):
+            out[start + 2 + 12 * len(tags) : start + 6 + 12 * len(tags)] = struct.pack("<I", at + 1)
+            out += b"\0"
+    return bytes(out)
+
+
+def tiff_pixels(data: bytes, level: int = 0) -> np.ndarray:
+    """Bands of one image of a file that tiff_bytes wrote: the check that what was written reads back."""
+    offset = struct.unpack_from("<I", data, 4)[0]
+    for _ in range(level):
+        n = struct.unpack_from("<H", data, offset)[0]
+        offset = struct.unpack_from("<I", data, offset + 2 + 12 * n)[0]
+    found = {}
+    for i in range(struct.unpack_from("<H", data, offset)[0]):
+        tag, kind, count = struct.unpack_from("<HHI", data, offset + 2 + 12 * i)
+        size = {3: 2, 4: 4}[kind] * count
+        at = offset + 10 + 12 * i if size <= 4 else struct.unpack_from("<I", data, offset + 10 + 12 * i)[0]
+        found[tag] = struct.unpack_from(f"<{count}{'H' if kind == 3 else 'I'}", data, at)
+    cols, rows, n, tile = found[256][0], found[257][0], found[277][0], found[322][0]
+    across, down = -(-cols // tile), -(-rows // tile)
+    out = np.zeros((n, down * tile, across * tile), np.uint8)
+    for j, (at, size) in enumerate(zip(found[324], found[325], strict=True)):
+        r, c = divmod(j, across)
+        out[:, r * tile : r * tile + tile, c * tile : c * tile + tile] = np.frombuffer(zlib.decompress(data[at : at + size]), np.uint8).reshape(tile, tile, n).transpose(2, 0, 1)
+    return out[:, :rows, :cols]

@@ -146,3 +146,45 @@ def test_zone_edges_and_frames(spark):
     near = [("t", 100.0, 9900.0)] * 40 + [("t", 100.0, 7000.0)] * 6 + [("u", 100.0, 7000.0)] * 120
     frames = spark.createDataFrame([("t", 10_000.0, 0.0), ("u", 10_000.0, 0.0)], "tile_key string, top_y double, west_x double")
     assert {r.tile_key: r.state for r in validation.north_edges(spark.createDataFrame(near, "tile_key string, x double, y double"), frames).collect()} == {"t": "pileup", "u": "gap"}
+
+
+def _varint(n):
+    out = b""
+    while n >= 128:
+        out += bytes([n & 127 | 128])
+        n >>= 7
+    return out + bytes([n])
+
+
+def test_tile_archives(spark, tmp_path):
+    entries = [(0, 1, 100, 0), (1, 3, 700, 100), (300, 1, 50, 0)]
+    directory = _varint(3) + b"".join(map(_varint, [0, 1, 299])) + b"".join(_varint(e[1]) for e in entries) + b"".join(_varint(e[2]) for e in entries) + b"".join(map(_varint, [1, 0, 1]))
+    packed = zlib.compressobj(wbits=31)
+    packed = packed.compress(directory) + packed.flush()
+    head = bytearray(127)
+    head[:8] = b"PMTiles\x03"
+    struct.pack_into("<2Q", head, 8, 127, len(packed))
+    struct.pack_into("<3Q", head, 72, 5, 3, 3)
+    head[97], head[100], head[101] = 2, 0, 9
+    struct.pack_into("<4i", head, 102, -1_800_000_000, -850_000_000, 1_800_000_000, 850_000_000)
+    (tmp_path / "a.pmtiles").write_bytes(bytes(head) + packed)
+    r = formats.read_pmtiles(spark, str(tmp_path)).first()
+    assert (r.tiles, r.entries, r.min_zoom, r.max_zoom, r.largest) == (5, 3, 0, 9, 700) and r.west == -180
+    assert formats.pmtiles_directory(directory) == entries
+
+
+def test_written_rasters_read_back(spark):
+    from parcelspark.functions import arrays
+    from parcelspark.plans import outlines
+
+    x = np.random.default_rng(0).integers(0, 256, (2, 150, 203), dtype=np.uint8)
+    data = formats.tiff_bytes(x, 64)
+    assert (formats.tiff_pixels(data) == x).all()
+    found = formats.tiff_directories(data)
+    assert [(d["width"], d["height"]) for d in found] == [(203, 150), (51, 38), (26, 19), (13, 10), (7, 5), (4, 3)] and found[0]["samples"] == 2
+    assert (formats.tiff_pixels(data, 1)[0] == arrays.area_mean(x[0], (38, 51))).all()
+    df = spark.createDataFrame([("t", 150, 203, "|u1", bytearray(x.tobytes()))], "tile_key string, height int, width int, dtype string, data binary")
+    assert (formats.tiff_pixels(bytes(outlines.score_rasters(df).first().tiff)) == x).all()
+    one = df.withColumn("data", F.substring("data", 1, 150 * 203))
+    png = formats.png_pixels(bytes(outlines.thumbnails(one, 64, ["#d73027", "#fee08b", "#1a9850"], [40, 80], 0.2).first().png))
+    assert png.shape == (38, 51, 3)
