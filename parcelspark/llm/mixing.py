@@ -65,7 +65,7 @@ def exponent(shares: DataFrame, repetition_limit: float | None, target_entropy:
     return found
 
 
-def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: float | None = None, budget_tokens: int | None = None, block_tokens: int = 65_536, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: float | None = None, budget_tokens: int | None = None, block_tokens: int = 65_536, seed: int = 7, whole_blocks: bool = False) -> DataFrame:
     """All columns of `docs`, one row for each time a document is read, and a struct column `mix`:
     `(n_tokens, weight, epochs, epoch, block, block_key, doc_key)`.
 
@@ -73,7 +73,9 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
     normalised. It is read weight * budget / tokens times. Without `budget_tokens` the budget is the
     least at which every source is read once in full, so no document is lost; small sources repeat. Each
     epoch is another permutation of the source's blocks (sort by epoch, block_key, doc_key); the last,
-    partial one takes blocks in order until the source's budget is spent, to within a block.
+    partial one takes documents in that order until the source's budget is spent: to the nearest document,
+    or, under `budget_tokens`, to the last that fits. Rows with one identity are taken together.
+    `whole_blocks` stops at the last whole block that fits, so a source of few blocks falls short by up to one.
 
     A null source is a source. Null and empty texts have no tokens; a source without tokens is read once.
     Null ids are dealt by their text; repeated rows each count. An empty table gives no rows. A column
@@ -81,10 +83,13 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
 
     Texts are never shuffled: totals are pre-aggregated, the partial epoch is one threshold on block_key
     for each source (two levels of prefix sums over blocks, so that a source with most blocks is summed
-    by many tasks), and what a document needs to know is one row for its source.
+    by many tasks) and one on doc_key in the block at which it ends, and what a document needs to know is
+    one row for its source.
     """
     tokens = word_count(F.col("text"))
-    found = materialise(docs.groupBy("source").agg(F.sum(tokens).alias("tokens")), "mix-sources")
+    identity = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    lengths = materialise(docs.select("source", identity.alias("identity"), tokens.alias("n")), "mix-lengths")
+    found = materialise(lengths.groupBy("source").agg(F.sum("n").alias("tokens")), "mix-sources")
     n_sources, total = found.agg(F.count("*"), F.sum("tokens")).first()
     shares = found.where("tokens > 0").select("source", "tokens", (F.col("tokens") / F.lit(float(total or 1))).alias("p"))
     t = exponent(shares, repetition_limit, target_entropy, None if budget_tokens is None else budget_tokens / float(total or 1))
@@ -98,7 +103,6 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
     plan = plan.withColumn("full", F.floor(F.col("epochs") + 1e-9)).withColumn("left", F.greatest(F.col("epochs") - F.col("full"), F.lit(0.0)) * F.col("tokens"))
     plan = F.broadcast(plan) if n_sources <= BROADCAST_ROWS else plan
 
-    identity = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     block = F.pmod(_key(seed, F.col("d.identity")), F.col("p.n_blocks"))
 
     def dealt(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -106,21 +110,39 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
         joined = rows.alias("d").join(table.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
         return joined.withColumn("_block", block).withColumn("_key", _key(seed, named, F.col("_block"), F.col("p.full")))
 
-    blocks = dealt(docs.select("source", identity.alias("identity"), tokens.alias("n")), plan).groupBy("p.source", "_block", "_key", "left").agg(F.sum("n").alias("n"))
+    blocks = dealt(lengths, plan).groupBy("p.source", "_block", "_key", "left").agg(F.sum("n").alias("n"))
     blocks = materialise(blocks.withColumn("over", F.shiftright("_key", 50)), "mix-blocks")
     supers = blocks.groupBy("source", "over").agg(F.sum("n").alias("n"))
     ahead = Window.partitionBy("source").orderBy("over").rowsBetween(Window.unboundedPreceding, -1)
     supers = supers.select(F.col("source").alias("s"), F.col("over").alias("o"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     within = Window.partitionBy("source", "over").orderBy("_key", "_block")
     summed = blocks.withColumn("inner", F.sum("n").over(within)).join(supers, F.col("source").eqNullSafe(F.col("s")) & (F.col("over") == F.col("o")))
-    last = materialise(summed.where(F.col("base") + F.col("inner") <= F.col("left") + 1e-6).groupBy("source").agg(F.max("_key").alias("last")), "mix-last").alias("l")
-    table = plan.alias("q").join(F.broadcast(last) if n_sources <= BROADCAST_ROWS else last, F.col("q.source").eqNullSafe(F.col("l.source")), "left").select("q.*", "l.last")
-    table = F.broadcast(table) if n_sources <= BROADCAST_ROWS else table
+    summed = summed.withColumn("upto", F.col("base") + F.col("inner"))
+    last = summed.where(F.col("upto") <= F.col("left") + 1e-6).groupBy("source").agg(F.max("_key").alias("last"))
+    last = materialise(last, "mix-last").alias("l")
+    few = F.broadcast if n_sources <= BROADCAST_ROWS else lambda x: x
+    table = plan.alias("q").join(few(last), F.col("q.source").eqNullSafe(F.col("l.source")), "left").select("q.*", "l.last")
+    if not whole_blocks:
+        # a block holds about block_tokens words, so the documents of the one that is cut are few, however large the source
+        room = F.col("left") - (F.col("upto") - F.col("n"))
+        cut = summed.where((F.col("left") >= 0.5) & (room > -1e-6) & (F.col("upto") > F.col("left") + 1e-6))
+        cut = materialise(cut.groupBy("source").agg(F.min_by(F.struct(F.col("_block").alias("cut_block"), room.alias("room")), "upto").alias("cut")).select("source", "cut.*"), "mix-cuts").alias("c")
+        inside = dealt(lengths.where("n > 0"), plan).join(few(cut), F.col("p.source").eqNullSafe(F.col("c.source")) & (F.col("_block") == F.col("c.cut_block")))
+        inside = inside.groupBy("p.source", "c.cut_block", "room", _key(seed, F.col("d.identity"), F.col("p.full")).alias("doc_key")).agg(F.sum("d.n").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("source").orderBy("doc_key").rowsBetween(Window.unboundedPreceding, 0))
+        spare = F.col("n") / 2 if budget_tokens is None else F.lit(0.0)
+        ends = inside.withColumn("upto", upto).where(F.col("upto") - spare <= F.col("room") + 1e-6).groupBy("source", "cut_block").agg(F.max("doc_key").alias("cut_key"))
+        ends = materialise(ends, "mix-ends").alias("e")
+        table = table.alias("t").join(few(ends), F.col("t.source").eqNullSafe(F.col("e.source")), "left").select("t.*", "e.cut_block", "e.cut_key")
+    table = few(table)
 
     columns = [c for c in docs.columns if c != "mix"]
     # what was in docs travels in one struct, so that no column of it can clash
     rows = dealt(docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "source", identity.alias("identity"), tokens.alias("n")), table)
-    copies = F.col("p.full") + F.when(F.col("_key") <= F.col("p.last"), 1).otherwise(0)
+    more = F.col("_key") <= F.col("p.last")
+    if not whole_blocks:
+        more = F.coalesce(more, F.lit(False)) | ((F.col("_block") == F.col("p.cut_block")) & (_key(seed, F.col("d.identity"), F.col("p.full")) <= F.col("p.cut_key")))
+    copies = F.col("p.full") + F.when(more, 1).otherwise(0)
     rows = rows.where(copies > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), copies.cast("long") - 1)))
     named = F.coalesce(F.concat(F.lit("s"), F.col("p.source")), F.lit("null"))
     details = F.struct(
@@ -131,7 +153,8 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", F.round("mix.weight", 9).alias("weight"), F.round("mix.epochs", 6).alias("epochs"), "mix.n_tokens", "mix.epoch", "mix.block", "mix.block_key", "mix.doc_key")
+    # its SQL ends the partial epoch at a whole block
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), whole_blocks=True).select("doc_id", "source", F.round("mix.weight", 9).alias("weight"), F.round("mix.epochs", 6).alias("epochs"), "mix.n_tokens", "mix.epoch", "mix.block", "mix.block_key", "mix.doc_key")
 
 
 def _sql_key(*parts: str) -> str:

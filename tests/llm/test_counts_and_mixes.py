@@ -75,6 +75,27 @@ def test_mixing_reaches_its_weights(spark):
     assert sorted(set(orders[0])) == sorted(set(orders[1])) and orders[0] != orders[1]
 
 
+def test_mixing_of_small_sources_at_the_default_block(spark):
+    rows = [(i, " ".join(["w"] * (20 + i % 90)), "abcc"[i % 4] if i % 20 else "d") for i in range(4000)] + [(None, "w " * 40, "d")] * 3
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), repetition_limit=1.7).collect()
+    natural, read, target = Counter(), Counter(), {r.source: (r.mix.epochs, r.mix.weight) for r in out}
+    for _, text, source in rows:
+        natural[source] += len(text.split())
+    for r in out:
+        read[r.source] += r.mix.n_tokens
+    for source, (epochs, weight) in target.items():
+        assert abs(read[source] - epochs * natural[source]) <= 60  # half of the longest document, or of the three rows in one
+        assert read[source] / sum(read.values()) == pytest.approx(weight, abs=1e-3)
+    assert max(e for e, _ in target.values()) == pytest.approx(1.7) and sum(e > 1.1 for e, _ in target.values()) == 3
+
+
+def test_mixing_never_exceeds_a_budget(spark):
+    rows = [(i, " ".join(["w"] * (20 + i % 90)), "abcc"[i % 4]) for i in range(2000)]
+    total = sum(len(t.split()) for _, t, _ in rows)
+    n = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), budget_tokens=total // 3).agg(F.sum("mix.n_tokens")).first()[0]
+    assert total // 3 - 3 * 109 <= n <= total // 3
+
+
 def test_exponent_meets_an_entropy(spark):
     p = np.array([0.7, 0.2, 0.06, 0.04])
     shares = spark.createDataFrame([(float(x),) for x in p], "p double")
