@@ -192,13 +192,14 @@ def shard_keys(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return whole.unionByName(large.select(F.xxhash64("key", "part").alias("key"), "fp", "rep"))
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3, with_text: bool = False) -> DataFrame:
     """`(doc_id, fingerprint, component_id)`, one row for each row of `docs` (columns doc_id, text).
 
     Fingerprints at `radius` differing bits or less are linked; a component is what links reach, named
     by its smallest doc_id. Null and empty texts have fingerprint zero and link like others. A null
     doc_id names no component: such a row gets the smallest other id of its component, or null. Repeated
-    rows give repeated rows. An empty table gives none; other columns are not read.
+    rows give repeated rows. An empty table gives none; other columns are not read. `with_text` adds
+    `text_hash` (xxhash64) and `component`, a number that no two components share, for tables whose ids repeat.
 
     Equal fingerprints are merged first, so copies cost one row each. Each shard (see shard_keys) is one
     BK-tree searched by its own members; a shard emits one edge for each member that is not the first of its
@@ -208,9 +209,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3)
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for b in batches if b.num_rows):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate([simhash(x, words_each) for x in slices(batch.column(1))]).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate([simhash(x, words_each) for x in slices(batch.column(1))]).view(np.int64))], ["doc_id", "text_hash", "fp"])
 
-    found = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(prints, "doc_id long, fp long"), "simhash-prints")
+    found = materialise(docs.select(F.col("doc_id").cast("long"), "text", (F.xxhash64("text") if with_text else F.lit(0).cast("long")).alias("text_hash")).mapInArrow(prints, "doc_id long, text_hash long, fp long"), "simhash-prints")
     # a class without any id still needs a node: negative hash of its print, mapped back to null below
     classes = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-classes")
     nodes = classes.select("fp", F.col("fp").alias("rep"))
@@ -219,8 +220,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3)
     components = connected_components(edges)
     joined = classes.join(components, classes.fp == components.node, "left").select("fp", "doc_id", F.coalesce("component", "fp").alias("component"))
     least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = materialise(joined.select("fp", "component").join(least, "component").select("fp", "component_id"), "simhash-labels")
-    return found.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    labels = materialise(joined.select("fp", "component").join(least, "component").select("fp", "component", "component_id"), "simhash-labels")
+    return found.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *(["text_hash", "component"] if with_text else []))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

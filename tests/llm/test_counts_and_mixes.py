@@ -119,6 +119,17 @@ def test_mixing_stays_in_the_jvm(docs):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_near_duplicate_stage_with_an_id_of_several_texts(spark):
+    import corpus_pipeline as c
+
+    a, b, x, y = (" ".join(f"{p}{i}" for i in range(300)) for p in "abxy")
+    near = a.upper()  # fingerprints ignore case
+    rows = [(1, a), (2, near), (2, b), (3, b), (4, x), (4, y), (5, x.upper()), (6, a), (7, "k " * 9), (7, "K " * 9), (7, "k " * 9), (None, b), (None, b)]
+    got = Counter(tuple(r) for r in c.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect())
+    seven = [k for k in got if k[0] == 7]
+    assert len(seven) == 1 and got == Counter([(1, a), (2, b), (4, x), (4, y), (None, b), *seven])
+
+
 def test_pipeline_by_stages(spark, tmp_path, rows):
     import corpus_pipeline as c
 
