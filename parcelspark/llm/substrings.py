@@ -1,4 +1,4 @@
-"""Substring dedup by relative Lempel-Ziv parsing against the anchors of every block."""
+"""Substring dedup by counting windows under minimiser anchors, in place of a greedy relative Lempel-Ziv parse."""
 
 from __future__ import annotations
 
