@@ -48,10 +48,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, and the table
-    survives the loss of any executor (unlike cached blocks)."""
+    survives the loss of any executor (unlike cached blocks). Shuffle files of the write go when it ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    cleaned = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleaned)
+    spark.conf.set(cleaned, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(cleaned, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
