@@ -1,4 +1,5 @@
-"""Sorted key arrays as binary columns: what blocks ask the key's partition, and what it answers.
+"""Blocks of texts, and sorted key arrays as binary columns: what blocks ask the key's partition, and what
+it answers.
 
 A block asks once for each distinct key, so what moves for one key is one entry for each block that has
 it, and a hot key is no larger than the number of blocks. Answers are aligned with the asked keys and
@@ -7,16 +8,76 @@ need not repeat them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from math import sqrt
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-
-#: Keys that one task compares, about.
-KEYS_EACH = 2_000_000
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from parcelspark.session import materialise
+
+#: Text of a block, and keys that one task compares, about, while a block has at least CELL keys for a part.
+BLOCK_BYTES, KEYS_EACH, CELL = 4 << 20, 2_000_000, 512
+#: What a block and a part may grow to, as multiples of these.
+BLOCK_GROWTH, PART_GROWTH = 16, 8
+
+
+def plan_sizes(text_bytes: float, block_bytes: int = BLOCK_BYTES, keys_a_word: float = 1.0) -> tuple[int, int]:
+    """`(block_bytes, parts)`: parts are a power of two. Both sizes grow as the square root of the corpus, so
+    that what a block sends to a part stays some hundred keys, until they reach their limits."""
+    words = max(text_bytes / 6, 1.0)
+    growth = sqrt(max(1.0, CELL * words / (max(block_bytes, BLOCK_BYTES) / 6 * KEYS_EACH)))
+    parts = words * keys_a_word / (KEYS_EACH * min(growth, PART_GROWTH))
+    return int(block_bytes * min(growth, BLOCK_GROWTH)), 1 << max(6, int(np.ceil(np.log2(max(parts, 1)))))
+
+
+def text_blocks(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[tuple[int, pa.Table]]:
+    """Rows in order, in blocks of about `limit` bytes of text (a longer text is a block of its own), with a
+    number that no other block of the table has. Blocks follow the order of reading, so rows that are alike
+    share none for it, and what is numbered must be written once and read from there."""
+    task, nth, held, size = TaskContext.get().partitionId(), 0, [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        low = 0
+        while low < len(lengths):
+            upto = np.cumsum(lengths[low:]) + size
+            high = low + int(np.searchsorted(upto, limit, side="right"))
+            if high == len(lengths):
+                held.append(batch.slice(low))
+                size = int(upto[-1])
+                break
+            high = high + (high == low and not held)
+            if high > low:
+                held.append(batch.slice(low, high - low))
+            yield task << 33 | nth, pa.Table.from_batches(held)
+            nth, held, size, low = nth + 1, [], 0, high
+    if held:
+        yield task << 33 | nth, pa.Table.from_batches(held)
+
+
+def text_bytes(docs: DataFrame) -> int:
+    return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
+
+def in_blocks(docs: DataFrame, block_bytes: int, name: str) -> DataFrame:
+    """`docs` with a long column `block` in front, written to the shared folder."""
+    columns = docs.columns
+
+    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in text_blocks(batches, columns.index("text"), block_bytes):
+            rows = rows.combine_chunks()
+            for batch in rows.to_batches():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(batch), block)), *batch.columns], ["block", *columns])
+
+    return materialise(docs.mapInArrow(tagged, docs.select(F.lit(0).cast("long").alias("block"), "*").schema), name)
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Byte planes, compressed: the high bytes of sorted keys nearly vanish."""
+    """Byte planes, compressed."""
     planes = np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T)
     return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
@@ -27,14 +88,23 @@ def unpack(data: bytes, n: int, dtype: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(dtype).ravel()
 
 
-def cuts(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Bounds in the sorted `keys` of their `parts` equal ranges of the 64-bit space."""
-    edges = [(i << 64) // parts for i in range(1, parts)]
-    return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys by their differences, whose high bytes vanish."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(data, n, np.uint64), dtype=np.uint64)
 
 
-def parts_for(total_words: float, floor: int = 48) -> int:
-    return max(floor, int(total_words // KEYS_EACH) + 1)
+def ranges(keys: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """`(part, low, high)` of each part that has some of the sorted `keys`: parts, a power of two, are equal
+    ranges of the 64-bit space, known by the key's high bits."""
+    if not len(keys):
+        return []
+    part = (keys >> np.uint64(65 - parts.bit_length())).astype(np.int64) if parts > 1 else np.zeros(len(keys), np.int64)
+    at = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(keys)]])
+    return list(zip(part[at[:-1]].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True))
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

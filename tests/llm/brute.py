@@ -55,23 +55,29 @@ def substrings(docs, window=35):
     return out
 
 
-def language_model(docs, prior):
+def language_model(docs, priors):
     tokens = [(k, [*words((t or "").translate(LOW)), None]) for k, t in docs]
     held = {k: zlib.crc32(("" if k is None else str(k)).encode()) % 7 == 2 for k, _ in docs}
-    one, two = Counter(), Counter()
+    one, two, three = Counter(), Counter(), Counter()
     for k, t in tokens:
         if not held[k]:
             one.update(t)
             two.update(zip(["<s>", *t[:-1]], t, strict=True))
+            three.update(zip(["<s>", *t[:-1]], t, t[1:]))
     n, v = sum(one.values()), len(one)
     states = one | {"<s>": one[None]}
     out = {}
     for k, t in tokens:
         base = score = 0.0
-        for h, w in zip(["<s>", *t[:-1]], t, strict=True):
+        for i, w in enumerate(t):
             p = (one[w] + 1) / (n + v + 1)
             base += math.log10(p)
-            score += math.log10((two[h, w] + prior * p) / (states.get(h, 0) + prior))
+            h = t[i - 1] if i else "<s>"
+            p = (two[h, w] + priors[0] * p) / (states.get(h, 0) + priors[0])
+            if i:
+                g = t[i - 2] if i > 1 else "<s>"
+                p = (three[g, h, w] + priors[1] * p) / (two[g, h] + priors[1])
+            score += math.log10(p)
         out[k] = (held[k], len(t), sum(one[w] > 0 for w in t), n, base, score)
     return out
 

@@ -14,15 +14,6 @@ from parcelspark.llm.text import fold
 DATA = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 22, 9000])
-def test_language_model(docs, rows, block_bytes):
-    got = {r.doc_id: (not r.training, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in language_model.language_model_scores(docs, fold(F.col("doc_id"), 7) != 2, prior=30.0, block_bytes=block_bytes).collect()}
-    want = brute.language_model([(r[0], r[1]) for r in rows], 30.0)
-    assert got.keys() == want.keys()
-    for k, w in want.items():
-        assert got[k][:4] == w[:4] and got[k][4] == pytest.approx(w[4]) and got[k][5] == pytest.approx(w[5])
-
-
 def test_language_model_odd_tables(odd, none, rows, docs):
     assert language_model.language_model_scores(odd, fold(F.col("doc_id"), 7) != 2).count() == len(rows) + 3
     assert language_model.language_model_scores(none, F.lit(True)).count() == 0
@@ -30,21 +21,6 @@ def test_language_model_odd_tables(odd, none, rows, docs):
     assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0)
 
 
-def test_followers_of_a_state_sum_to_one():
-    texts = pa.chunked_array([["a b a c", "b b", "c"]])
-    train = language_model.Sequence(texts)
-    words, pairs = train.counts(np.ones(3, bool))
-    vocab = ["a", "b", "c", None]
-    total = 0.0
-    for w in vocab:
-        probe = language_model.Sequence(pa.chunked_array([["a b a c", "b b", "c", "a" + (f" {w}" if w else "")]]))
-        a, b = probe.counts(np.array([1, 1, 1, 0]))
-        steps = language_model.Automaton(probe, a.astype(int), b.astype(int), int(words.sum()), 4, 5.0).traverse(probe)
-        total += 10 ** steps[probe.starts[3] + 1]
-    unseen = 1 / (words.sum() + 5)
-    assert total + 5 * unseen / (2 + 5) == pytest.approx(1.0)
-
-
 def test_quality_rules(docs, rows, odd, none):
     want = brute.rules([(r[0], r[3], r[1]) for r in rows], 3)
     got = {r.doc_id: tuple(r)[1:] for r in quality_rules.quality_rules(docs, line_texts=3).collect()}
