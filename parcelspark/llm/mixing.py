@@ -36,8 +36,9 @@ def exponent(shares: DataFrame, repetition_limit: float | None, target_entropy:
 
     Entropy falls from log(sources) at t = 0 to that of the shares at t = 1. Under `target_entropy`
     (in nats) t is the largest whose entropy reaches it; under `repetition_limit` the least at which no
-    source is read more often than that. With both, the limit wins. Each pass of the bisection sums
-    over the table once for ARMS exponents; no source leaves the executors.
+    source is read more often than that. With both, the limit wins. What no exponent meets is an error: an
+    entropy above log(sources), a limit below the budget over all tokens. Each pass of the bisection sums over
+    the table once for ARMS exponents; no source leaves the executors.
     """
     if repetition_limit is None and target_entropy is None:
         return 1.0
@@ -59,13 +60,18 @@ def exponent(shares: DataFrame, repetition_limit: float | None, target_entropy:
 
     found = 0.0
     if target_entropy is not None:
+        _, _, [(z, _)] = sums([0.0])
+        if z is not None and target_entropy > math.log(z) + 1e-9:
+            raise ValueError(f"{z:.0f} sources reach an entropy of {math.log(z)}, not {target_entropy}")
         found = _search(below, 0.0, 1.0)
     if repetition_limit is not None and not within([found])[0]:
+        if not within([1.0])[0]:
+            raise ValueError(f"at any weights some source is read more than {repetition_limit} times under this budget")
         found = _search(within, found, 1.0)
     return found
 
 
-def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: float | None = None, budget_tokens: int | None = None, block_tokens: int = 65_536, seed: int = 7, whole_blocks: bool = False) -> DataFrame:
+def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: float | None = None, budget_tokens: int | None = None, block_tokens: int = 65_536, seed: int = 7) -> DataFrame:
     """All columns of `docs`, one row for each time a document is read, and a struct column `mix`:
     `(n_tokens, weight, epochs, epoch, block, block_key, doc_key)`.
 
@@ -75,7 +81,6 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
     epoch is another permutation of the source's blocks (sort by epoch, block_key, doc_key); the last,
     partial one takes documents in that order until the source's budget is spent: to the nearest document,
     or, under `budget_tokens`, to the last that fits. Rows with one identity are taken together.
-    `whole_blocks` stops at the last whole block that fits, so a source of few blocks falls short by up to one.
 
     A null source is a source. Null and empty texts have no tokens; a source without tokens is read once.
     Null ids are dealt by their text; repeated rows each count. An empty table gives no rows. A column
@@ -122,26 +127,24 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
     last = materialise(last, "mix-last").alias("l")
     few = F.broadcast if n_sources <= BROADCAST_ROWS else lambda x: x
     table = plan.alias("q").join(few(last), F.col("q.source").eqNullSafe(F.col("l.source")), "left").select("q.*", "l.last")
-    if not whole_blocks:
-        # a block holds about block_tokens words, so the documents of the one that is cut are few, however large the source
-        room = F.col("left") - (F.col("upto") - F.col("n"))
-        cut = summed.where((F.col("left") >= 0.5) & (room > -1e-6) & (F.col("upto") > F.col("left") + 1e-6))
-        cut = materialise(cut.groupBy("source").agg(F.min_by(F.struct(F.col("_block").alias("cut_block"), room.alias("room")), "upto").alias("cut")).select("source", "cut.*"), "mix-cuts").alias("c")
-        inside = dealt(lengths.where("n > 0"), plan).join(few(cut), F.col("p.source").eqNullSafe(F.col("c.source")) & (F.col("_block") == F.col("c.cut_block")))
-        inside = inside.groupBy("p.source", "c.cut_block", "room", _key(seed, F.col("d.identity"), F.col("p.full")).alias("doc_key")).agg(F.sum("d.n").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("source").orderBy("doc_key").rowsBetween(Window.unboundedPreceding, 0))
-        spare = F.col("n") / 2 if budget_tokens is None else F.lit(0.0)
-        ends = inside.withColumn("upto", upto).where(F.col("upto") - spare <= F.col("room") + 1e-6).groupBy("source", "cut_block").agg(F.max("doc_key").alias("cut_key"))
-        ends = materialise(ends, "mix-ends").alias("e")
-        table = table.alias("t").join(few(ends), F.col("t.source").eqNullSafe(F.col("e.source")), "left").select("t.*", "e.cut_block", "e.cut_key")
+    # a block holds about block_tokens words, so the documents of the one that is cut are few, however large the source
+    room = F.col("left") - (F.col("upto") - F.col("n"))
+    cut = summed.where((F.col("left") >= 0.5) & (room > -1e-6) & (F.col("upto") > F.col("left") + 1e-6))
+    cut = materialise(cut.groupBy("source").agg(F.min_by(F.struct(F.col("_block").alias("cut_block"), room.alias("room")), "upto").alias("cut")).select("source", "cut.*"), "mix-cuts").alias("c")
+    inside = dealt(lengths.where("n > 0"), plan).join(few(cut), F.col("p.source").eqNullSafe(F.col("c.source")) & (F.col("_block") == F.col("c.cut_block")))
+    inside = inside.groupBy("p.source", "c.cut_block", "room", _key(seed, F.col("d.identity"), F.col("p.full")).alias("doc_key")).agg(F.sum("d.n").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("source").orderBy("doc_key").rowsBetween(Window.unboundedPreceding, 0))
+    spare = F.col("n") / 2 if budget_tokens is None else F.lit(0.0)
+    ends = inside.withColumn("upto", upto).where(F.col("upto") - spare <= F.col("room") + 1e-6).groupBy("source", "cut_block").agg(F.max("doc_key").alias("cut_key"))
+    ends = materialise(ends, "mix-ends").alias("e")
+    table = table.alias("t").join(few(ends), F.col("t.source").eqNullSafe(F.col("e.source")), "left").select("t.*", "e.cut_block", "e.cut_key")
     table = few(table)
 
     columns = [c for c in docs.columns if c != "mix"]
     # what was in docs travels in one struct, so that no column of it can clash
     rows = dealt(docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), "source", identity.alias("identity"), tokens.alias("n")), table)
     more = F.col("_key") <= F.col("p.last")
-    if not whole_blocks:
-        more = F.coalesce(more, F.lit(False)) | ((F.col("_block") == F.col("p.cut_block")) & (_key(seed, F.col("d.identity"), F.col("p.full")) <= F.col("p.cut_key")))
+    more = F.coalesce(more, F.lit(False)) | ((F.col("_block") == F.col("p.cut_block")) & (_key(seed, F.col("d.identity"), F.col("p.full")) <= F.col("p.cut_key")))
     copies = F.col("p.full") + F.when(more, 1).otherwise(0)
     rows = rows.where(copies > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), copies.cast("long") - 1)))
     named = F.coalesce(F.concat(F.lit("s"), F.col("p.source")), F.lit("null"))
@@ -153,8 +156,7 @@ def mix(docs: DataFrame, repetition_limit: float | None = 4.0, target_entropy: f
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # its SQL ends the partial epoch at a whole block
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), whole_blocks=True).select("doc_id", "source", F.round("mix.weight", 9).alias("weight"), F.round("mix.epochs", 6).alias("epochs"), "mix.n_tokens", "mix.epoch", "mix.block", "mix.block_key", "mix.doc_key")
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "source", F.round("mix.weight", 9).alias("weight"), F.round("mix.epochs", 6).alias("epochs"), "mix.n_tokens", "mix.epoch", "mix.block", "mix.block_key", "mix.doc_key")
 
 
 def _sql_key(*parts: str) -> str:
@@ -172,9 +174,13 @@ p AS (SELECT *, floor(epochs + 1e-9) AS whole, greatest(epochs - floor(epochs +
  CASE WHEN tokens > 0 THEN pow(tokens / total, t) / z ELSE 0 END AS weight, CASE WHEN tokens > 0 THEN pow(tokens / total, t) / z * (most / (pow(most, t) / z) * total) / tokens ELSE 1 END AS epochs FROM s, e, z)),
 b AS (SELECT d.*, p.* EXCLUDE (source), {_sql_key("7", "ident")} % cast(n_blocks AS bigint) AS block FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 k AS (SELECT *, {_sql_key("7", "named", "block", "cast(whole AS bigint)")} AS own FROM b),
-c AS (SELECT named, block, own, max(rest) AS rest, sum(n) AS n FROM k GROUP BY named, block, own),
-l AS (SELECT named, max(own) AS last FROM (SELECT named, own, rest, sum(n) OVER (PARTITION BY named ORDER BY own, block) AS upto FROM c) WHERE upto <= rest + 1e-6 GROUP BY named),
-m AS (SELECT k.*, cast(whole AS bigint) + CASE WHEN own <= last THEN 1 ELSE 0 END AS copies FROM k LEFT JOIN l USING (named)),
+c AS (SELECT *, sum(n) OVER (PARTITION BY named ORDER BY own, block) AS upto FROM (SELECT named, block, own, max(rest) AS rest, sum(n) AS n FROM k GROUP BY named, block, own)),
+l AS (SELECT named, max(own) AS last FROM c WHERE upto <= rest + 1e-6 GROUP BY named),
+x AS (SELECT named, min_by(block, upto) AS cut_block, min_by(rest - (upto - n), upto) AS room FROM c WHERE rest >= 0.5 AND upto > rest + 1e-6 AND rest - (upto - n) > -1e-6 GROUP BY named),
+y AS (SELECT named, room, {_sql_key("7", "ident", "cast(whole AS bigint)")} AS doc_key, sum(n) AS n FROM k JOIN x USING (named) WHERE block = cut_block AND n > 0 GROUP BY ALL),
+e2 AS (SELECT named, max(doc_key) AS cut_key FROM (SELECT *, sum(n) OVER (PARTITION BY named ORDER BY doc_key) AS upto FROM y) WHERE upto - n / 2 <= room + 1e-6 GROUP BY named),
+m AS (SELECT k.*, cast(whole AS bigint) + CASE WHEN own <= last OR (block = cut_block AND {_sql_key("7", "ident", "cast(whole AS bigint)")} <= cut_key) THEN 1 ELSE 0 END AS copies
+ FROM k LEFT JOIN l USING (named) LEFT JOIN x USING (named) LEFT JOIN e2 USING (named)),
 r AS (SELECT *, unnest(range(copies)) AS epoch FROM m WHERE copies > 0)
 SELECT doc_id, source, round(weight, 9) AS weight, round(epochs, 6) AS epochs, n AS n_tokens, epoch, block, {_sql_key("7", "named", "block", "epoch")} AS block_key, {_sql_key("7", "ident", "epoch")} AS doc_key FROM r"""
 }

@@ -89,6 +89,15 @@ def test_mixing_of_small_sources_at_the_default_block(spark):
     assert max(e for e, _ in target.values()) == pytest.approx(1.7) and sum(e > 1.1 for e, _ in target.values()) == 3
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_query_realises_its_weights(spark, sf):
+    n = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").count()
+    out = mixing.op1_mixing(spark, f"/root/testdata/{sf}").groupBy("source").agg(F.sum("n_tokens").alias("read"), F.first("weight").alias("weight"), F.first("epochs").alias("epochs"), F.count("*").alias("rows")).collect()
+    total = sum(r.read for r in out)
+    assert all(abs(r.read / total - r.weight) <= (0.003 if sf == "sf0.01" else 0.0005) for r in out), [(r.read / total, r.weight) for r in out]
+    assert sum(r.rows for r in out) > 1.05 * n
+
+
 def test_mixing_never_exceeds_a_budget(spark):
     rows = [(i, " ".join(["w"] * (20 + i % 90)), "abcc"[i % 4]) for i in range(2000)]
     total = sum(len(t.split()) for _, t, _ in rows)
@@ -103,6 +112,10 @@ def test_exponent_meets_an_entropy(spark):
         t = mixing.exponent(shares, None, target)
         w = p**t / (p**t).sum()
         assert -(w * np.log(w)).sum() == pytest.approx(target, abs=1e-6)
+    with pytest.raises(ValueError, match="entropy"):
+        mixing.exponent(shares, None, 1.5)
+    with pytest.raises(ValueError, match="more than 2.0 times"):
+        mixing.exponent(shares, 2.0, None, budget_share=5.0)
     assert mixing.exponent(shares, None, None) == 1.0 and mixing.exponent(shares, 1.0, None) == pytest.approx(1.0)
 
 
