@@ -18,9 +18,9 @@ from parcelspark.session import materialise
 COSINE = 0.93
 BLOCKS = 4
 #: Vectors that the rotation is fitted on, at most; rows of a cell that one task compares, about.
-ROTATION_SAMPLE, CELL = 4096, 4096
-_WIDE = "label int, dim int, block int, cell string, home boolean, rep long, m long, v array<{}>"
-_NARROW = "label int, dim int, block int, cell string, home boolean"
+ROTATION_SAMPLE, CELL = 4096, 16_384
+_WIDE = "label string, dim int, block int, cell string, home boolean, rep long, m long, v array<{}>"
+_NARROW = "label string, dim int, block int, cell string, home boolean"
 
 
 class Subspaces:
@@ -46,6 +46,7 @@ def _unit(column: pa.Array) -> np.ndarray:
     """Rows of a list column (all of one length) as unit vectors, in double precision."""
     column = as_array(column)
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    x = x / np.abs(x).max(1)[:, None]  # so that no square overflows or vanishes
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
@@ -88,13 +89,18 @@ def _compare(spaces: dict[int, Subspaces], cosine: float):
         unit = _unit(group["v"])
         part = unit @ space.axes[b]
         square = (part * part).sum(1)
-        left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+        along, reach = part[:, 0], np.sqrt(space.shares[b] + 1e-6)
+        order = np.argsort(along, kind="stable")
+        left, right = order[(side[order] & 1) > 0], order[(side[order] & 2) > 0]
         links, parent = np.zeros(len(rep), np.int64), np.arange(len(rep))
         for low in range(0, len(left), 256):
             rows = left[low : low + 256]
-            near = square[rows][:, None] + square[right] - 2 * part[rows] @ part[right].T <= space.shares[b] + 1e-6
+            # both sides are sorted along the first axis: only what is in reach there is compared
+            begin, end = np.searchsorted(along[right], [along[rows[0]] - reach, along[rows[-1]] + reach])
+            some = right[begin:end]
+            near = square[rows][:, None] + square[some] - 2 * part[rows] @ part[some].T <= space.shares[b] + 1e-6
             i, j = np.nonzero(near)
-            i, j = rows[i], right[j]
+            i, j = rows[i], some[j]
             # a row that is on both sides meets each other such row once, by id; sides 1 and 2 meet in any case
             once = (i != j) & ((side[i] != 3) | (side[j] != 3) | (rep[i] < rep[j]))
             i, j = i[once], j[once]
@@ -118,7 +124,8 @@ def _compare(spaces: dict[int, Subspaces], cosine: float):
 
 
 def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int = CELL) -> DataFrame:
-    """`(vec_id, n_links, component_id, kept)`, one row for each vector of `vectors` (vec_id, embedding, label).
+    """`(vec_id, n_links, component_id, kept)`, one row for each vector of `vectors` (vec_id, embedding, label
+    of any type that has a text).
 
     Vectors of equal label and length link at `cosine` or more, computed in double precision from the
     given values. Null, empty and zero vectors, vectors with a null or non-finite component, and rows
@@ -128,15 +135,16 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int
 
     Equal vectors are merged first and count by their number. Each block of the rotated vectors is joined
     by range: cells along its first axes, one axis for small labels, more as a label grows; a cell of more
-    than `cell` rows is cut into tiles that meet pairwise, so no task holds more than two. A candidate
-    is checked in all dimensions. A task returns a row for each linked vector, never its pairs.
+    than `cell` rows is cut into tiles that meet pairwise, so no task holds more than two, and a cell that is only
+    visited is left out. What is in reach along the first axis is compared in the block's dimensions, what
+    keeps to the block's share is checked in all. A task returns a row for each linked vector, never its pairs.
     """
     kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"  # nothing is rounded
     rows = vectors.select(F.col("vec_id").cast("long"), "label", F.col("embedding").cast(f"array<{kind}>").alias("v")).distinct()
-    norm = F.aggregate("v", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
-    fit = F.coalesce((F.size("v") > 0) & (norm > 0) & (norm < float("inf")) & ~F.isnan(norm), F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
+    fit = F.coalesce((F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0), F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     rows = materialise(rows.select("vec_id", "label", F.when(fit, F.xxhash64("label", "v")).alias("k1"), F.when(fit, F.xxhash64(F.lit(1), "v", "label")).alias("k2"), F.when(fit, F.col("v")).alias("v")), "vectors")
-    classes = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.first("label").cast("int").alias("label"), F.first("v").alias("v"))
+    classes = rows.where("k1 is not null").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.first("label").cast("string").alias("label"), F.first("v").alias("v"))
     classes = materialise(classes.withColumn("dim", F.size("v")), "vector-classes")
     sample = classes.orderBy(F.xxhash64("rep"), "rep").limit(ROTATION_SAMPLE).select("dim", "v").toArrow()
     budget, spaces = 2 * (1 - cosine), {}
@@ -150,9 +158,10 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = COSINE, cell: int
 
     at = ["label", "dim", "block", "cell"]
     counts = placed.mapInArrow(_cells(spaces, False), _NARROW).groupBy(*at).agg(F.count("*").alias("rows"), F.count_if("home").alias("homes"))
-    large = counts.where((F.col("rows") > cell) & (F.col("homes") > 0)).select(*at, F.ceil(F.col("homes") / F.lit(cell / 2)).cast("int").alias("t"), F.ceil((F.col("rows") - F.col("homes")) / F.lit(cell / 2)).cast("int").alias("u"))
-    large = materialise(large, "vector-cells")
-    wide = placed.mapInArrow(_cells(spaces, True), _WIDE.format(kind)).join(large, at, "left")
+    large = F.col("rows") > cell
+    cells = counts.where((F.col("homes") > 0) & (F.col("rows") > 1)).select(*at, F.when(large, F.ceil(F.col("homes") / F.lit(cell / 2))).cast("int").alias("t"), F.when(large, F.ceil((F.col("rows") - F.col("homes")) / F.lit(cell / 2))).cast("int").alias("u"))
+    cells = materialise(cells, "vector-cells")
+    wide = placed.mapInArrow(_cells(spaces, True), _WIDE.format(kind)).join(cells, at)
     # tiles 0 .. t-1 are of the cell's own rows, t .. t+u-1 of visitors; a task is a pair (i, j), i < t, i <= j
     own = F.when(F.col("home"), F.pmod(F.xxhash64("rep"), F.col("t"))).otherwise(F.col("t") + F.pmod(F.xxhash64("rep"), F.greatest("u", F.lit(1)))).cast("int")
     tile = F.col("tile")

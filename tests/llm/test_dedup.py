@@ -121,3 +121,27 @@ def test_vectors(spark, cell):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicate_vectors(df, cell=cell).collect()}
     assert got == {i: (degree[i], comp[i], comp[i] == i) for i in comp} | {None: (0, None, False)}
     assert max(degree.values()) >= 25 and embeddings.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cell", [16_384, 64])
+def test_vectors_around_the_threshold_in_64_dimensions(spark, cell):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((300, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    side = rng.standard_normal((300, 64))
+    side -= (side * base).sum(1)[:, None] * base
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    cosine = rng.uniform(0.925, 0.935, 300)
+    near = cosine[:, None] * base + np.sqrt(1 - cosine**2)[:, None] * side
+    rows = [(i, v.tolist(), "a" if i % 300 % 3 else "b") for i, v in enumerate(np.concatenate([base, near]) * rng.uniform(0.1, 9, 600)[:, None])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string"), cell=cell).collect()}
+    linked = {i for i in range(300) if cosine[i] >= 0.93}
+    assert 100 < len(linked) < 200 and got == {i: (1, i % 300) if i % 300 in linked else (0, i) for i in range(600)}
+
+
+def test_vectors_of_any_size_and_labels_of_any_type(spark):
+    v = [1.0, 2.0, 3.0]
+    for kind, a, b in (("string", "x", "y"), ("bigint", 2**40, 2**40 + 1), ("date", __import__("datetime").date(2020, 1, 1), __import__("datetime").date(2020, 1, 2)), ("boolean", True, False)):
+        rows = [(1, v, a), (2, [x * 1e200 for x in v], a), (3, [x * 1e-200 for x in v], a), (4, v, b), (5, [5e-324, 0.0, 0.0], a), (6, [1.0, 0.0, 0.0], a)]
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicate_vectors(spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")).collect()}
+        assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}, kind
