@@ -16,8 +16,9 @@ from parcelspark.session import materialise
 
 RADIUS = 3
 SEED = 42
-#: Fingerprints of one shard before it is split further, and (query, node) pairs held at once.
-SHARD, FRONTIER = 8192, 1 << 20
+#: Fingerprints of one shard before it is split further, of one tile of a part that still has more, and
+#: (query, node) pairs held at once.
+SHARD, TILE, FRONTIER = 8192, 1 << 16, 1 << 20
 #: Shingles whose bounds are Python numbers at once.
 HASHED = 1 << 17
 _LANES = np.uint64(0x0101010101010101)
@@ -168,7 +169,9 @@ def shard_keys(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     The 64 bits are radius + 2 blocks; at least two are equal, and a key is one choice of two blocks with
     their bits. Shards of more than SHARD rows are split by the rest of the bits, cut into radius + 1
-    parts of which one is equal. Keys with a single row are left out.
+    parts of which one is equal. A part that still has more than TILE rows is cut into tiles by a hash of the
+    fingerprint, and each two tiles are a shard of their own, so none holds more than about 2 * TILE.
+    Keys with a single row are left out.
     """
     n = radius + 2
     low = [64 * i // n for i in range(n + 1)]
@@ -189,7 +192,19 @@ def shard_keys(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     split = F.element_at(F.array(*(c.getField("parts") for c in choices)), F.shiftright("key", 40).cast("int") + 1)
     whole = rows.where(F.col("n") <= SHARD).select("key", "fp", "rep")
     large = rows.where(F.col("n") > SHARD).select(F.explode(split).alias("part"), "key", "fp", "rep")
-    return whole.unionByName(large.select(F.xxhash64("key", "part").alias("key"), "fp", "rep"))
+    large = large.select(F.xxhash64("key", "part").alias("key"), "fp", "rep")
+    parts = materialise(large.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / F.lit(TILE)).cast("int").alias("t")), "simhash-parts")
+    tiled = large.join(parts, "key").withColumn("i", F.pmod(F.xxhash64("fp"), F.col("t")).cast("int"))
+    one = tiled.where("t = 1").select("key", "fp", "rep")
+    pair = F.filter(F.sequence(F.lit(0), F.col("t") - 1), lambda j: j != F.col("i"))
+    more = tiled.where("t > 1").select("key", "fp", "rep", "i", F.explode(pair).alias("j"))
+    more = more.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "fp", "rep")
+    return whole.unionByName(one).unionByName(more)
+
+
+def text_hashes(text: str = "text") -> tuple[Column, Column]:
+    """Two hashes that together tell texts apart; a null text is like none other."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3, with_text: bool = False) -> DataFrame:
@@ -199,7 +214,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3,
     by its smallest doc_id. Null and empty texts have fingerprint zero and link like others. A null
     doc_id names no component: such a row gets the smallest other id of its component, or null. Repeated
     rows give repeated rows. An empty table gives none; other columns are not read. `with_text` adds
-    `text_hash` (xxhash64) and `component`, a number that no two components share, for tables whose ids repeat.
+    `text_hash`, `text_hash2` (see text_hashes) and `component`, a number that no two components share, for
+    tables whose ids repeat.
 
     Equal fingerprints are merged first, so copies cost one row each. Each shard (see shard_keys) is one
     BK-tree searched by its own members; a shard emits one edge for each member that is not the first of its
@@ -207,11 +223,16 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3,
     shards go to their tasks by key instead.
     """
 
+    extra = ["text_hash", "text_hash2"] if with_text else []
+    schema = ", ".join(f"{c} long" for c in ["doc_id", *extra, "fp"])
+
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b for b in batches if b.num_rows):
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate([simhash(x, words_each) for x in slices(batch.column(1))]).view(np.int64))], ["doc_id", "text_hash", "fp"])
+            fp = np.concatenate([simhash(x, words_each) for x in slices(batch.column(1))]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(fp)], ["doc_id", *extra, "fp"])
 
-    found = materialise(docs.select(F.col("doc_id").cast("long"), "text", (F.xxhash64("text") if with_text else F.lit(0).cast("long")).alias("text_hash")).mapInArrow(prints, "doc_id long, text_hash long, fp long"), "simhash-prints")
+    hashes = [h.alias(c) for h, c in zip(text_hashes(), extra, strict=False)]
+    found = materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *hashes).mapInArrow(prints, schema), "simhash-prints")
     # a class without any id still needs a node: negative hash of its print, mapped back to null below
     classes = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "simhash-classes")
     nodes = classes.select("fp", F.col("fp").alias("rep"))
@@ -221,7 +242,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_each: int = 3,
     joined = classes.join(components, classes.fp == components.node, "left").select("fp", "doc_id", F.coalesce("component", "fp").alias("component"))
     least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     labels = materialise(joined.select("fp", "component").join(least, "component").select("fp", "component", "component_id"), "simhash-labels")
-    return found.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *(["text_hash", "component"] if with_text else []))
+    return found.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *extra, *(["component"] if with_text else []))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

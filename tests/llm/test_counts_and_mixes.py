@@ -38,6 +38,33 @@ def test_bounds_are_optimal():
         assert len(found) <= k and cost(found) == best
 
 
+def test_bounds_of_many_long_lengths():
+    rng = np.random.default_rng(1)
+    lengths, counts = np.unique(np.concatenate([rng.integers(1, 300, 150), rng.integers(30_000, 10**7, 50)])), None
+    counts = rng.integers(1, 1000, len(lengths))
+    n = len(lengths)
+    c = [0, *np.cumsum(counts).tolist()]
+    plain = [[math.inf] * (n + 1) for _ in range(5)]
+    plain[0][0] = 0
+    for k in range(1, 5):
+        for j in range(1, n + 1):
+            plain[k][j] = min(plain[k - 1][i] + int(lengths[j - 1]) * (c[j] - c[i]) for i in range(j))
+    for scale in (1, 2**36):  # the second is beyond 64 bits
+        found = packing.optimal_bounds(lengths * scale, counts, 4)
+        total = sum(int(k) * min(b for b in found if b >= x) for x, k in zip((lengths * scale).tolist(), counts.tolist()))
+        assert total == min(p[n] for p in plain) * scale and set(found) <= set((lengths * scale).tolist())
+
+
+def test_documents_longer_than_a_batch_and_rows_without_ids(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 4)
+    rows = [(None, "w " * 9)] * 60 + [(i, "w " * n) for i, n in enumerate((40_000, 70_001, 5, 0))]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), n_buckets=4, batch_tokens=100).collect()
+    assert Counter(r.n_tokens for r in out) == Counter({10: 60, 40_001: 1, 70_002: 1, 6: 1, 1: 1})
+    assert {r.padded_to for r in out} == {1, 10, 40_001, 70_002} and all(r.slot == 0 for r in out if r.n_tokens > 100)
+    places = [(r.batch, r.slot) for r in out if r.doc_id is None]
+    assert len(set(places)) == 60 and max(places) <= (6, 0)
+
+
 def test_packing(docs, rows, odd, none, monkeypatch):
     monkeypatch.setattr(packing, "SHARD", 5)
     out = packing.pack(docs, n_buckets=4, batch_tokens=500).collect()
@@ -169,3 +196,11 @@ def test_pipeline_by_stages(spark, tmp_path, rows):
     assert Counter((r.doc_id, len(brute.words(r.text))) for r in cut) == Counter((near[i].doc_id, want[i][0] - want[i][1]) for i in left)
     assert {r.doc_id for r in mixed} == {r.doc_id for r in cut} and Counter(r.doc_id for r in packed) == Counter(r.doc_id for r in mixed)
     assert c.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path, none):
+    import corpus_pipeline as c
+
+    none.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert c.run(spark, str(tmp_path)).count() == 0

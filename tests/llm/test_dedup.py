@@ -67,8 +67,9 @@ def test_split_shards_lose_no_link(spark, monkeypatch):
     df = spark.createDataFrame([(int(x), int(x)) for x in p.view(np.int64)], "fp long, rep long")
     want = brute.components(range(len(p)), [(i, j) for i in range(len(p)) for j in range(i) if int(np.bitwise_count(p[i] ^ p[j])) <= 3])
     at = {int(x): i for i, x in enumerate(p.view(np.int64))}
-    for shard in (10_000, 4):
+    for shard, tile in ((10_000, 10_000), (4, 10_000), (4, 3)):
         monkeypatch.setattr(simhash, "SHARD", shard)
+        monkeypatch.setattr(simhash, "TILE", tile)
         edges = simhash.shard_keys(df).repartition("key").sortWithinPartitions("key").mapInArrow(simhash._shard_links(3), "src long, dst long").collect()
         assert brute.components(range(len(p)), [(at[r.src], at[r.dst]) for r in edges]) == want
 
