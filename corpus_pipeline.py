@@ -27,15 +27,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each SimHash component, once if its row is repeated. Where an id has
     several texts, each is a document of its own; of those that share a component and its smallest id, the one of
-    least hash is kept. Rows without an id cannot be named by a component: they stay, repeated texts once."""
-    found = simhash.near_duplicates(docs, with_text=True)
+    least hashes is kept. Rows without an id cannot be named by a component: they stay, repeated texts once.
+    Texts are told apart by two hashes."""
+    text = ["text_hash", "text_hash2"]
+    found = simhash.near_duplicates(docs, with_text=True).withColumn("of", F.struct(*text))
     own = found.where(F.col("doc_id") == F.col("component_id"))
-    several = own.groupBy("component").agg(F.min("text_hash").alias("least"), F.max("text_hash").alias("most")).where("least < most")
-    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id", "text_hash")
-    others = others.unionByName(own.join(several, "component").where("text_hash > least").select("doc_id", "text_hash")).distinct()
-    same = (F.col("d.doc_id").cast("long") == F.col("o.doc_id")) & (F.xxhash64("d.text") == F.col("o.text_hash"))
+    several = own.groupBy("component").agg(F.min("of").alias("least"), F.max("of").alias("most")).where("least < most")
+    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id", *text)
+    others = others.unionByName(own.join(several, "component").where("of > least").select("doc_id", *text)).distinct()
+    a, b = simhash.text_hashes("d.text")
+    same = (F.col("d.doc_id").cast("long") == F.col("o.doc_id")) & (a == F.col("o.text_hash")) & (b == F.col("o.text_hash2"))
     kept = docs.alias("d").join(others.alias("o"), same, "left_anti")
-    return kept.withColumn("_named", F.struct(F.col("doc_id").cast("long"), F.xxhash64("text"))).dropDuplicates(["_named"]).select(*docs.columns)
+    return kept.withColumn("_named", F.struct(F.col("doc_id").cast("long"), *simhash.text_hashes())).dropDuplicates(["_named"]).select(*docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
