@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelspark.llm.labelled import FOLDS, HELD_OUT, SAMPLE, training_sample
+from parcelspark.llm.labelled import FOLDS, HELD_OUT, SAMPLE, document_sample, training_sample
 from parcelspark.llm.text import Words, fold, slices
 from parcelspark.session import materialise
 
@@ -20,9 +20,22 @@ THRESHOLD = 0.3
 ENTRIES, SUPPORT = 512, 3
 #: Characters of the stem lexicons.
 STEMS = (4, 5, 6)
+#: Rounds of expectation maximisation at most.
+ROUNDS = 10
 _EDGES = "".join(chr(i) for i in range(33, 127) if not chr(i).isalpha())
 _FORMS = ["word", *(f"stem{n}" for n in STEMS)]
-EVIDENCE = [*(f"{f}_{k}" for f in _FORMS for k in ("hits", "kinds", "weight")), "words", "shouts", "uppers", "masked"]
+#: Words that no label is needed for, by language; words of threat and of address, in all of them.
+INSULTS = {
+    "en": "idiot idiots moron morons stupid dumb loser losers fool fools scum trash garbage pathetic clown clowns worthless disgusting imbecile coward liar freak",
+    "de": "idiot idioten dumm dummkopf trottel versager abschaum müll erbärmlich widerlich wertlos feigling lügner depp spinner blödmann",
+    "fr": "idiot idiots idiote imbécile imbéciles crétin crétins stupide minable ordure ordures déchet pathétique lâche menteur abruti débile",
+    "es": "idiota idiotas imbécil imbéciles estúpido estúpida tonto tontos basura patético patética cobarde mentiroso inútil escoria payaso",
+}
+THREATS = "kill kills murder destroy hurt beat töten schlagen vernichten tuer frapper détruire matar golpear destruir"
+ADDRESS = "you your you're du dich dein ihr tu toi vous tes eres usted ustedes tus"
+LISTS = {**INSULTS, "threat": THREATS, "address": ADDRESS}
+EVIDENCE = [*(f"{f}_{k}" for f in _FORMS for k in ("hits", "kinds", "weight")), *(f"list_{k}" for k in LISTS), "list_kinds", "stretched", "words", "shouts", "uppers", "masked"]
+_AT = {k: i for i, k in enumerate(EVIDENCE)}
 
 
 def _forms(vocab: pa.Array) -> tuple[pa.Array, dict[str, pa.Array]]:
@@ -56,6 +69,19 @@ class Lexicons:
             pairs = np.unique(doc[hit] * len(entries) + found[hit])
             out[:, 3 * i + 1] = np.bincount(pairs // len(entries), minlength=n)
             out[:, 3 * i + 2] = np.bincount(pairs // len(entries), weights=weights[pairs % len(entries)], minlength=n)
+        kinds = {}
+        for name, entries in LISTS.items():
+            found = pc.fill_null(pc.index_in(bare, pa.array(entries.split(), pa.large_string())), -1).to_numpy(zero_copy_only=False)
+            out[:, _AT[f"list_{name}"]] = np.bincount(doc[found[words.codes] >= 0], minlength=n)
+            if name in INSULTS:
+                kinds |= dict.fromkeys(np.flatnonzero(found >= 0).tolist())
+        _, known = np.unique(pc.dictionary_encode(bare).indices.to_numpy(zero_copy_only=False), return_inverse=True)
+        insult = np.zeros(len(bare), bool)
+        insult[list(kinds)] = True
+        hit = np.flatnonzero(insult[words.codes])
+        out[:, _AT["list_kinds"]] = np.bincount(np.unique(doc[hit] * len(bare) + known[words.codes[hit]]) // len(bare), minlength=n)
+        stretched = pc.match_substring_regex(bare, "|".join(f"{c}{{3}}" for c in "aehimnoruy")).to_numpy(zero_copy_only=False)
+        out[:, _AT["stretched"]] = np.bincount(doc, weights=stretched[words.codes], minlength=n)
         flags = (pc.match_substring(words.vocab, "!"), pc.and_(pc.utf8_is_upper(words.vocab), pc.greater(pc.binary_length(words.vocab), 1)), pc.match_substring_regex(words.vocab, r"[A-Za-z][*@$#0]+[A-Za-z]"))
         out[:, -4] = count
         for k, flag in enumerate(flags):
@@ -114,9 +140,23 @@ def votes(evidence: np.ndarray) -> np.ndarray:
     voter(evidence[:, -1] >= 2, np.zeros(len(words), bool))
     voter((evidence[:, -3] / words >= 0.2) & (evidence[:, 0] > 0), np.zeros(len(words), bool))
     voter((evidence[:, -2] / words >= 0.2) & (evidence[:, 0] > 0), np.zeros(len(words), bool))
+    # the voters below know nothing of labels
+    never = np.zeros(len(words), bool)
+    named = evidence[:, [_AT[f"list_{k}"] for k in INSULTS]]
+    hits = named.sum(1)
+    for k in range(len(INSULTS)):
+        voter((named[:, k] >= 2) | (named[:, k] / words >= 0.02), never)
+    voter(hits / words >= 0.005, hits == 0)
+    voter(evidence[:, _AT["list_kinds"]] >= 2, never)
+    voter((hits >= 1) & (evidence[:, _AT["list_threat"]] >= 1), never)
+    voter((hits >= 1) & (evidence[:, _AT["list_address"]] >= 2), never)
+    voter((hits >= 1) & (evidence[:, _AT["stretched"]] >= 1), never)
     return np.stack(out, 1).astype(np.int8)
 
 
+VOTERS = 3 * len(_FORMS) + 3 + len(INSULTS) + 5
+
+
 @dataclass
 class LabelModel:
     """log P(vote | class) of each voter, the share of class 1, and voters' correlations given the class."""
@@ -134,40 +174,48 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def label_model(patterns: np.ndarray, counts: np.ndarray, start: np.ndarray, prior: float, rounds: int = 10) -> LabelModel:
-    """Expectation maximisation over vote patterns and how many documents cast them.
-
-    `start` is a first posterior for each pattern; `prior`, the share of class 1, is held. A voter's
-    accuracy is its table of votes given the class, its correlations with others are those of the votes
-    left over once the class is known.
-    """
-    q = np.clip(start, 1e-3, 1 - 1e-3)
-    voters = patterns.shape[1]
+def moments(patterns: np.ndarray, counts: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """What a step needs of some vote patterns, `counts` documents each, that are class 1 with probability
+    `q`: for both classes the weight, the votes of each kind, and their first and second moments. Additive."""
+    out = []
+    for share in (1 - q, q):
+        w = counts * share
+        cast = patterns.astype(np.float64)
+        kinds = [(cast == v - 1).T @ w for v in range(3)]
+        out += [np.array([w.sum()]), *kinds, cast.T @ w, (cast.T @ (cast * w[:, None])).ravel()]
+    return np.concatenate(out)
+
+
+def maximised(sums: np.ndarray, voters: int, prior: float) -> LabelModel:
+    """The model that `moments` of all documents give: a voter's accuracy is its table of votes given the
+    class, its correlations with others are those of the votes left over once the class is known."""
+    tables, left = np.empty((2, voters, 3)), np.zeros((voters, voters))
+    for c, part in enumerate(sums.reshape(2, -1)):
+        weight, kinds, first = part[0], part[1 : 1 + 3 * voters].reshape(3, voters), part[1 + 3 * voters : 1 + 4 * voters]
+        tables[c] = (kinds.T + 0.5) / (weight + 1.5)
+        left += part[1 + 4 * voters :].reshape(voters, voters) - np.outer(first, first) / max(weight, 1e-9)
+    scale = np.sqrt(np.maximum(np.diag(left), 1e-9))
+    correlations = left / scale[:, None] / scale[None, :]
+    np.fill_diagonal(correlations, 1.0)
+    return LabelModel(np.log(tables), prior, correlations)
+
+
+def label_model(summed, voters: int, prior: float, rounds: int = ROUNDS) -> LabelModel:
+    """Expectation maximisation. `summed(model)` gives the moments of all documents under the model's
+    posteriors (the first time under None: a start); `prior`, the share of class 1, is held."""
+    model = None
     for _ in range(rounds):
-        tables, left = np.empty((2, voters, 3)), np.zeros((voters, voters))
-        for c, share in enumerate((1 - q, q)):
-            w = counts * share
-            for v in range(3):
-                tables[c, :, v] = ((patterns == v - 1) * w[:, None]).sum(0)
-            tables[c] = (tables[c] + 0.5) / (w.sum() + 1.5)
-            rest = patterns - (patterns * w[:, None]).sum(0) / max(w.sum(), 1e-9)
-            left += rest.T @ (rest * w[:, None])
-        scale = np.sqrt(np.maximum(np.diag(left), 1e-9))
-        correlations = left / scale[:, None] / scale[None, :]
-        np.fill_diagonal(correlations, 1.0)
-        model = LabelModel(np.log(tables), prior, correlations)
-        new = model.posterior(patterns)
-        if np.abs(new - q).max() < 1e-6:
+        last, model = model, maximised(summed(model), voters, prior)
+        if last is not None and np.abs(np.exp(last.tables) - np.exp(model.tables)).max() < 1e-6:
             break
-        q = np.clip(new, 1e-6, 1 - 1e-6)
     return model
 
 
 def features(evidence: np.ndarray) -> np.ndarray:
     """Inputs of the linear classifier."""
     words = np.maximum(evidence[:, -4:-3], 1)
-    n = 3 * len(_FORMS)
-    return np.concatenate([np.log1p(evidence[:, :n]), np.minimum(evidence[:, :n:3] / words, 0.2) * 10, np.minimum(evidence[:, -3:] / words, 1)], 1)
+    n, lists = 3 * len(_FORMS), evidence[:, 3 * len(_FORMS) : -4]
+    return np.concatenate([np.log1p(evidence[:, :n]), np.minimum(evidence[:, :n:3] / words, 0.2) * 10, np.log1p(lists), np.minimum(evidence[:, -3:] / words, 1)], 1)
 
 
 def fit_linear(x: np.ndarray, q: np.ndarray, w: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,10 +247,13 @@ class ToxicityModel:
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, label: str = "toxic") -> ToxicityModel:
-    """Lexicons from at most `limit` labelled rows, the label model from the vote patterns of all
-    documents (pre-aggregated; three votes to the power of the voters bound them, texts show a few
-    thousand), the classifier from the sample's evidence under the model's posteriors. Without labelled
-    rows of both kinds every score is the prior."""
+    """Lexicons from at most `limit` labelled rows; the label model from the vote patterns of all documents;
+    the classifier from the evidence of those rows and of at most `limit` documents outside the held-out
+    fold, labelled or not, under the model's posteriors. Without labelled rows of both kinds every score is the prior.
+
+    Patterns are counted once and stay on the executors: a round of the label model is one pass over them that
+    returns a sum for each task. The first posterior of a pattern is its share of labelled rows that are
+    toxic, with one vote more for a pattern in which any voter says so."""
     sample = training_sample(docs, labels, label, limit)
     lexicons = learn_lexicons(sample)
 
@@ -217,25 +268,41 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, label: str =
             found = np.concatenate([lexicons.evidence(x) for x in slices(batch.column(2))])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.tolist(), pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    seen = docs.select("text").mapInArrow(cast, "pattern binary, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toArrow().sort_by("pattern")
-    known = sample.select(F.col("doc_id").cast("long"), "y", "text").mapInArrow(proof, "doc_id long, y int, x array<double>").toArrow().sort_by("doc_id")
-    voters = 3 * len(_FORMS) + 3
-    patterns = np.frombuffer(b"".join(seen["pattern"].to_pylist()), np.int8).reshape(-1, voters)
-    x = known["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(EVIDENCE)) if len(known) else np.zeros((0, len(EVIDENCE)))
-    y = known["y"].to_numpy() > 0
+    def evidence_of(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        found = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "y", "text").mapInArrow(proof, "doc_id string, y int, x array<double>").toArrow().sort_by("doc_id")
+        x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(EVIDENCE)) if len(found) else np.zeros((0, len(EVIDENCE)))
+        return x, found["y"].to_numpy() > 0
+
+    x, y = evidence_of(sample)
     prior = float((y.sum() + 1) / (len(y) + 10))
-    cast_by = votes(x) if len(x) else np.zeros((0, voters), np.int8)
     marked = {}
-    for key, toxic in zip((v.tobytes() for v in cast_by), y.tolist(), strict=True):
+    for key, toxic in zip((v.tobytes() for v in votes(x)), y.tolist(), strict=True):
         a, n = marked.get(key, (0, 0))
         marked[key] = (a + toxic, n + 1)
-    start = np.array([(a + (p > 0).any()) / (n + 2) for p in patterns for a, n in [marked.get(p.tobytes(), (0, 0))]])
-    patterns, counts = (patterns, seen["n"].to_numpy().astype(np.float64)) if len(patterns) else (np.zeros((1, voters), np.int8), np.ones(1))
-    model = label_model(patterns, counts, start if len(start) else np.full(1, prior), prior)
+    seen = materialise(docs.select("text").mapInArrow(cast, "pattern binary, n long").groupBy("pattern").agg(F.sum("n").alias("n")), "toxicity-patterns")
+
+    def summed(model: LabelModel | None) -> np.ndarray:
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in (b for b in batches if b.num_rows):
+                keys = batch.column(0).to_pylist()
+                patterns = np.frombuffer(b"".join(keys), np.int8).reshape(-1, VOTERS)
+                if model is None:
+                    q = np.array([(a + (p > 0).any()) / (n + 2) for p, (a, n) in zip(patterns, (marked.get(k, (0, 0)) for k in keys), strict=True)])
+                else:
+                    q = model.posterior(patterns)
+                q = np.clip(q, 1e-3, 1 - 1e-3) if model is None else np.clip(q, 1e-6, 1 - 1e-6)
+                yield pa.RecordBatch.from_arrays([pa.array([moments(patterns, batch.column(1).to_numpy().astype(np.float64), q).tolist()])], ["sums"])
+
+        rows = [r["sums"] for r in seen.mapInArrow(sums, "sums array<double>").collect()]
+        return np.sum([np.zeros(2 * (1 + 4 * VOTERS + VOTERS**2)), *(np.array(r) for r in rows)], axis=0)
+
+    model = label_model(summed, VOTERS, prior)
     if not len(x) or y.all() or not y.any():
         width = features(np.zeros((1, len(EVIDENCE)))).shape[1]
         return ToxicityModel(lexicons, model, np.zeros(width), np.ones(width), np.append(np.zeros(width), np.log(model.prior / (1 - model.prior))))
-    q = model.posterior(cast_by)
+    more, _ = evidence_of(document_sample(docs, limit).select("doc_id", F.lit(0).alias("y"), "text"))
+    x = np.concatenate([x, more])
+    q = model.posterior(votes(x))
     return ToxicityModel(lexicons, model, *fit_linear(features(x), q, np.ones(len(q))))
 
 
