@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from parcelspark.functions import overlay, wkb
 from parcelspark.functions.codec import decode, encode
-from parcelspark.functions.utm import projected
+from parcelspark.functions.utm import forward, projected
 
 #: Square metres below which holes are filled and parts dropped.
 HOLE_M2, PART_M2 = 20.0, 900.0
@@ -36,18 +36,80 @@ def _mapped(df: DataFrame, schema: str, row) -> DataFrame:
     return df.mapInArrow(run, out_schema)
 
 
+class Flat:
+    """Polygons of a batch as one coordinate array: `points`, where each ring begins (and the end), whether a ring is a
+    shell, and the row of each ring. Sums over rings are reductions over slices."""
+
+    def __init__(self, shapes: list[wkb.Polygons]):
+        rings = [(r, k == 0, row) for row, polygons in enumerate(shapes) for p in polygons for k, r in enumerate(p)]
+        self.points = np.concatenate([r for r, _, _ in rings]) if rings else np.zeros((0, 2))
+        self.starts = np.concatenate([[0], np.cumsum([len(r) for r, _, _ in rings])]).astype(np.int64)
+        self.shell = np.array([s for _, s, _ in rings], bool)
+        self.row = np.array([w for _, _, w in rings], np.int64)
+        self.n = len(shapes)
+
+    def projected(self, zones: np.ndarray) -> np.ndarray:
+        """Points in metres of each row's zone."""
+        out, of = np.empty_like(self.points), np.repeat(zones[self.row], np.diff(self.starts))
+        for z in np.unique(of).tolist():
+            m = of == z
+            out[m] = np.column_stack(forward(self.points[m, 0], self.points[m, 1], z))
+        return out
+
+    def by_row(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=values, minlength=self.n)
+
+    def rings(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each ring: the area, its first moments (from the ring's first point) and its length."""
+        if not len(self.row):
+            return (np.zeros(0),) * 4
+        first = points[self.starts[:-1]]
+        p = points - np.repeat(first, np.diff(self.starts), axis=0)
+        inner = np.ones(len(p), bool)
+        inner[self.starts[1:] - 1] = False  # a step ends in each point but a ring's first
+        x0, y0, x1, y1 = p[:-1, 0], p[:-1, 1], p[1:, 0], p[1:, 1]
+        held = inner[:-1]
+        cross = np.append(np.where(held, x0 * y1 - x1 * y0, 0.0), 0.0)
+        step = np.append(np.where(held, np.hypot(x1 - x0, y1 - y0), 0.0), 0.0)
+        at = self.starts[:-1]
+        area = np.add.reduceat(cross, at) / 2
+        mx = np.add.reduceat(cross * np.append(x0 + x1, 0.0), at) / 6
+        my = np.add.reduceat(cross * np.append(y0 + y1, 0.0), at) / 6
+        return area, mx + first[:, 0] * area, my + first[:, 1] * area, np.add.reduceat(step, at)
+
+
 def measure(df: DataFrame, geometry: str = "geometry", tile_key: str | None = "tile_key") -> DataFrame:
     """Area and perimeter in the zone's northern projection (or, without a tile key, as given), part,
     hole and coordinate counts, bounds and centroid. A null geometry has null measures."""
+    names = [x.split(" ")[0] for x in _METRICS.split(", ")]
+    kept = [c for c in df.columns if c not in names]
+    schema = df.select(*kept).selectExpr("*", *(f"cast(null as {x.split(' ')[1]}) as {x.split(' ')[0]}" for x in _METRICS.split(", "))).schema
 
-    def row(r: dict):
-        polygons = wkb.parse(r[geometry])
-        if not polygons:
-            return None
-        flat = polygons if tile_key is None else projected(polygons, int(r[tile_key][:2]))
-        return (wkb.area(flat), wkb.perimeter(flat), len(polygons), sum(len(p) - 1 for p in polygons), wkb.coordinate_count(polygons), *wkb.bounds(polygons), *wkb.centroid(polygons))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes = [wkb.parse(x) for x in batch.column(geometry).to_pylist()]
+            flat, none = Flat(shapes), pa.array([not p for p in shapes], pa.bool_())
+            metres = flat.points if tile_key is None else flat.projected(np.array([int(k[:2]) if k else 0 for k in batch.column(tile_key).to_pylist()]))
+            sign = np.where(flat.shell, 1.0, -1.0)
+            area, _, _, length = flat.rings(metres)
+            degrees, mx, my, _ = flat.rings(flat.points)
+            turned = sign * np.sign(np.where(degrees == 0, 1, degrees))
+            total, cx, cy = (flat.by_row(turned * v) for v in (degrees, mx, my))
+            box = [np.full(flat.n, k) for k in (np.inf, np.inf, -np.inf, -np.inf)]
+            of = np.repeat(flat.row, np.diff(flat.starts))
+            for i, f in enumerate((np.minimum, np.minimum, np.maximum, np.maximum)):
+                f.at(box[i], of, flat.points[:, i % 2])
+            line = np.flatnonzero(np.abs(total) < 1e-300)  # no area: the mean of the vertices
+            with np.errstate(divide="ignore", invalid="ignore"):
+                centre = [cx / total, cy / total]
+            for i in line.tolist():
+                centre[0][i], centre[1][i] = wkb.centroid(shapes[i]) or (np.nan, np.nan)
+            found = [flat.by_row(sign * np.abs(area)), flat.by_row(length), flat.by_row(flat.shell), flat.by_row(~flat.shell), flat.by_row(np.diff(flat.starts)), *box, *centre]
+            types = [f.dataType.typeName() for f in schema.fields[len(kept) :]]
+            extra = [pa.array(v.astype(np.int32) if t == "integer" else v, mask=none.to_numpy(zero_copy_only=False)) for v, t in zip(found, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *extra], [*kept, *names])
 
-    return _mapped(df, _METRICS, row)
+    return df.mapInArrow(run, schema)
 
 
 def tidy(df: DataFrame, geometry: str = "geometry", tile_key: str = "tile_key", hole: float = HOLE_M2, part: float = PART_M2) -> DataFrame:

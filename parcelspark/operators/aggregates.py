@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelspark.session import materialise
+
 
-def totals(df: DataFrame, keep: Column, area: str, *by: str) -> DataFrame:
-    """Rows and area, in all and of those that `keep` holds for (null counts as not kept)."""
+def totals(df: DataFrame, keep: Column, area: str, *by: str, more: Sequence[Column] = ()) -> DataFrame:
+    """Rows and area, in all and of those that `keep` holds for (null counts as not kept), and `more` of the same pass."""
     held = F.coalesce(keep, F.lit(False))
-    out = [F.count("*").alias("n_in"), F.count_if(held).alias("n_out"), F.sum(area).alias("area_in"), F.sum(F.when(held, F.col(area))).alias("area_out")]
+    out = [F.count("*").alias("n_in"), F.count_if(held).alias("n_out"), F.sum(area).alias("area_in"), F.sum(F.when(held, F.col(area))).alias("area_out"), *more]
     return df.groupBy(*by).agg(*out) if by else df.agg(*out)
 
 
-def extents(df: DataFrame, *by: str) -> DataFrame:
-    out = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1")]
+def extents(df: DataFrame, *by: str, more: Sequence[Column] = ()) -> DataFrame:
+    out = [F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"), *more]
     return df.groupBy(*by).agg(*out) if by else df.agg(*out)
 
 
@@ -55,12 +59,50 @@ def relative_change(new: DataFrame, old: DataFrame, key: str, value: str, tolera
 
 def size_outliers(df: DataFrame, size: str, hard: tuple[float, float] = (0.05, 10.0), warn: tuple[float, float] = (0.2, 5.0)) -> DataFrame:
     """`size_ratio` to the median of all, with `size_flag` 'size' or 'size_warn' beyond the limits."""
-    middle = df.agg(F.median(size).alias("_median"))
+    middle = exact_quantiles(df, size, [0.5], continuous=True).select(F.col("value").alias("_median"))
     rated = df.crossJoin(F.broadcast(middle)).withColumn("size_ratio", F.col(size) / F.col("_median")).drop("_median")
     beyond = lambda lim: (F.col("size_ratio") < lim[0]) | (F.col("size_ratio") > lim[1])
     return rated.withColumn("size_flag", F.when(beyond(hard), "size").when(beyond(warn), "size_warn"))
 
 
+def exact_quantiles(df: DataFrame, value: str, shares: list[float], by: tuple[str, ...] = (), continuous: bool = False) -> DataFrame:
+    """`(by, share, value)`: the least value that at least this share of a group's values do not exceed, or with
+    `continuous` interpolated between the two beside the place share * (n - 1). Nulls are left out.
+
+    Values are counted first; counts are summed in order on two levels, values within ranges of an approximate
+    quantile sketch and the ranges themselves (at most RANGES), so that no task holds a group's distinct values.
+    """
+    counts = materialise(df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c")), "quantile-counts")
+    cuts = counts.agg(F.percentile_approx("_v", F.array(*(F.lit(i / RANGES) for i in range(1, RANGES))), 10_000)).first()[0] or []
+    edges = F.array(*(F.lit(x) for x in sorted(set(cuts)))) if cuts else None
+    # places in a sorted array: an element's own place, or where it would go
+    at = F.lit(0) if edges is None else F.size(F.filter(edges, lambda e: e < F.col("_v")))
+    counts = materialise(counts.withColumn("_range", at.cast("int")), "quantile-ranges")
+    ranges = counts.groupBy(*by, "_range").agg(F.sum("_c").alias("_in"))
+    ahead = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_before", F.coalesce(F.sum("_in").over(ahead), F.lit(0))).withColumn("_n", F.sum("_in").over(Window.partitionBy(*by)))
+    upto = F.sum("_c").over(Window.partitionBy(*by, "_range").orderBy("_v"))
+    run = counts.withColumn("_upto", upto).join(ranges, [*by, "_range"]).withColumn("_upto", F.col("_before") + F.col("_upto"))
+    if not continuous:
+        return _at_ranks(run, by, {q: F.col("_n") * F.lit(q) for q in shares}).select(*by, "share", "value")
+    place = {q: (F.col("_n") - 1) * F.lit(q) for q in shares}
+    low = _at_ranks(run, by, {q: F.floor(p) + 1 for q, p in place.items()}).select(*by, "share", F.col("value").alias("_low"), "_n")
+    high = _at_ranks(run, by, {q: F.ceil(p) + 1 for q, p in place.items()}).select(*by, "share", F.col("value").alias("_high"))
+    part = (F.col("_n") - 1) * F.col("share") - F.floor((F.col("_n") - 1) * F.col("share"))
+    return low.join(high, [*by, "share"]).select(*by, "share", (F.col("_low") + (F.col("_high") - F.col("_low")) * part).alias("value"))
+
+
+#: Ranges that exact_quantiles sums values in.
+RANGES = 64
+
+
+def _at_ranks(run: DataFrame, by: tuple[str, ...], ranks: dict[float, Column]) -> DataFrame:
+    """`(by, _n, share, value)`: the least value with at least this many values up to it."""
+    each = run.groupBy(*by).agg(F.max("_n").alias("_n"), *(F.min(F.when(F.col("_upto") >= r - 1e-9, F.col("_v"))).alias(f"_{i}") for i, r in enumerate(ranks.values())))
+    rows = F.array(*(F.struct(F.lit(q).alias("share"), F.col(f"_{i}").alias("value")) for i, q in enumerate(ranks)))
+    return each.select(*by, "_n", F.explode(rows).alias("_r")).select(*by, "_n", "_r.*")
+
+
 def flags(**conditions: Column) -> Column:
     """Names of the conditions that hold, in order, joined by commas; null does not hold."""
     return F.array_join(F.filter(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in conditions.items())), lambda x: x.isNotNull()), ",")
@@ -83,9 +125,10 @@ def cell_rollup(cells: DataFrame, size: int, to: int) -> DataFrame:
     return cells.groupBy(centre("cell_x").alias("cell_x"), centre("cell_y").alias("cell_y")).agg(*(F.sum(c).alias(c) for c in ("n", "area", "score_sum")))
 
 
-def cell_metrics(cells: DataFrame, cell_area: float) -> DataFrame:
-    """Final figures of cells from their sums: density, mean score, covered share in percent (at most 100)."""
+def cell_metrics(cells: DataFrame, cell_area: float, area_unit: float = 1.0) -> DataFrame:
+    """Final figures of cells from their sums: density, mean score, covered share in percent (at most 100).
+    `area_unit` is what one unit of summed area is in that of the cell's."""
     return cells.select(
         "cell_x", "cell_y", "n", (F.col("n") / F.lit(float(cell_area))).alias("density"), (F.col("score_sum") / F.col("n")).alias("avg_score"),
-        F.least(F.lit(100.0), F.col("area") * 100.0 / F.lit(float(cell_area))).alias("pct_covered"),
+        F.least(F.lit(100.0), F.col("area") * F.lit(100.0 * area_unit) / F.lit(float(cell_area))).alias("pct_covered"),
     )

@@ -46,3 +46,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         now = materialise(_small_star(_large_star(now)), "edges")
     roots = now.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
+
+
+def named_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
+    """`(node, component)` for nodes of any type: each gets a number of its own, written once, and none is known by
+    a hash. A component is the least number in it."""
+    ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
+    numbers = materialise(ends.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct().withColumn("n", F.monotonically_increasing_id()), "node-numbers")
+    a, b = (numbers.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}")) for c in "ab")
+    found = connected_components(ends.join(a, "a").join(b, "b"), "n_a", "n_b")
+    return numbers.join(found.withColumnRenamed("node", "n"), "n").select("node", "component")

@@ -45,14 +45,17 @@ def self_pairs(df: DataFrame, cell: float, key: str = "id", on: Column | None =
     return grid_join(df, df, cell, before if on is None else before & on)
 
 
-def in_any_box(df: DataFrame, strips: DataFrame, keep: bool = True, on: list[str] | None = None) -> DataFrame:
-    """Rows whose box meets a row of `strips` (or, with keep=False, none); `on` are equal columns.
-    Strips are few (one for each pair of neighbouring extents); without equal columns Spark broadcasts
-    them if its statistics allow it."""
-    cond = boxes_meet("d", "s")
-    for c in on or []:
-        cond = cond & (F.col(f"d.{c}") == F.col(f"s.{c}"))
-    return df.alias("d").join(strips.alias("s"), cond, "left_semi" if keep else "left_anti")
+def in_any_box(df: DataFrame, strips: DataFrame, cell: float, key: str = "id", keep: bool = True, on: list[str] | None = None) -> DataFrame:
+    """Rows (named by `key`) whose box meets a row of `strips`, or with keep=False none; `on` are equal columns.
+    Both sides are dealt to grid cells, so strips may be many; only keys and boxes are, and the rows
+    themselves join by key."""
+    if on:
+        cond = boxes_meet("d", "s")
+        for c in on:
+            cond = cond & (F.col(f"d.{c}") == F.col(f"s.{c}"))
+        return df.alias("d").join(strips.alias("s"), cond, "left_semi" if keep else "left_anti")
+    hit = grid_join(df.select(key, *BOX), strips.select(*BOX), cell).select(F.col(f"a.{key}").alias(key)).distinct()
+    return df.join(hit, key, "left_semi" if keep else "left_anti")
 
 
 def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str) -> DataFrame:

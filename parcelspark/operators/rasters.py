@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def zonal_means(pixels: DataFrame, layers: list[str], *by: str) -> DataFrame:
-    """Count and mean of each layer for each label; NaN makes a mean NaN, and null is left out."""
-    return pixels.groupBy(*by).agg(F.count("*").alias("n"), *(F.avg(c).alias(c) for c in layers))
+def zonal_means(pixels: DataFrame, layers: list[str], *by: str, more: Sequence[Column] = ()) -> DataFrame:
+    """Count and mean of each layer for each label, and `more` of the same pass; NaN makes a mean NaN, and null is left out."""
+    return pixels.groupBy(*by).agg(F.count("*").alias("n"), *(F.avg(c).alias(c) for c in layers), *more)
 
 
 def reduce_any(pixels: DataFrame, size: int, flag: Column, *by: str) -> DataFrame:

@@ -93,14 +93,17 @@ def size_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT p_type, cast(floor(quantile_cont(p_size, 0.5) * 100) as bigint) AS p50, cast(floor(quantile_cont(p_size, 0.9) * 100 + 0.001) as bigint) AS p90 FROM part GROUP BY p_type")
 def quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.percentile("p_size", F.array(F.lit(0.5), F.lit(0.9))).alias("q")
-    at = lambda i, e: F.floor(F.col("q")[i] * 100 + e).cast("long")
-    return table(spark, sf_dir, "part").groupBy("p_type").agg(q).select("p_type", at(0, 0.0).alias("p50"), at(1, 0.001).alias("p90"))
+    q = aggregates.exact_quantiles(table(spark, sf_dir, "part"), "p_size", [0.5, 0.9], ("p_type",), continuous=True)
+    at = lambda s, e: F.max(F.when(F.col("share") == s, F.floor(F.col("value") * 100 + e))).cast("long")
+    return q.groupBy("p_type").agg(at(0.5, 0.0).alias("p50"), at(0.9, 0.001).alias("p90"))
 
 
 @query("SELECT p_type, cast(median(p_size) * 2 as bigint) AS twice_median, quantile_disc(p_size, 0.5) AS lower_median FROM part GROUP BY p_type")
 def medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").groupBy("p_type").agg((F.median("p_size") * 2).cast("long").alias("twice_median"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY p_size)").cast("int").alias("lower_median"))
+    part = table(spark, sf_dir, "part")
+    middle = aggregates.exact_quantiles(part, "p_size", [0.5], ("p_type",), continuous=True).select("p_type", (F.col("value") * 2).cast("long").alias("twice_median"))
+    lower = aggregates.exact_quantiles(part, "p_size", [0.5], ("p_type",)).select("p_type", F.col("value").cast("int").alias("lower_median"))
+    return middle.join(lower, "p_type")
 
 
 @query("""SELECT p_type, p_brand AS mode_brand, n FROM (SELECT p_type, p_brand, count(*) AS n, row_number() OVER (PARTITION BY p_type ORDER BY count(*) DESC, p_brand) AS r FROM part GROUP BY p_type, p_brand) WHERE r = 1""")
@@ -143,7 +146,7 @@ _ITEM = "'{{\"id\":\"' || {id} || '\",\"bbox\":[' || x0 || ',' || y0 || ',' || x
 
 @query(f"SELECT zone, {_ITEM.format(id='zone')} AS item FROM (SELECT zone, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, count(*) AS n FROM {SQL} GROUP BY zone)")
 def catalogue_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = aggregates.extents(parcels(spark, sf_dir), "zone").join(parcels(spark, sf_dir).groupBy("zone").agg(F.count("*").alias("n")), "zone")
+    e = aggregates.extents(parcels(spark, sf_dir), "zone", more=[F.count("*").alias("n")])
     return e.select("zone", F.to_json(F.struct(F.col("zone").alias("id"), F.array("x0", "y0", "x1", "y1").alias("bbox"), F.struct("n").alias("properties"))).alias("item"))
 
 

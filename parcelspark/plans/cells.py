@@ -32,9 +32,9 @@ def cell_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT cell_x, cell_y, n, cast(n * 1000 // 1600 as bigint) AS density_milli, cast(floor(score_sum * 100 / n) as bigint) AS score_centi, cast(least(100, floor(area * 100 / 3000000000.0)) as bigint) AS pct FROM {_CELLS}")
 def cell_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = aggregates.cell_metrics(_cells(spark, sf_dir), 1600.0)
-    a = _cells(spark, sf_dir).select("cell_x", "cell_y", "score_sum", F.least(F.lit(100), F.floor(F.col("area") * 100 / 3_000_000_000.0)).cast("long").alias("pct"))
-    return m.join(a, ["cell_x", "cell_y"]).select("cell_x", "cell_y", "n", F.floor(F.col("density") * 1000).cast("long").alias("density_milli"), F.floor(F.col("score_sum") * 100 / F.col("n")).cast("long").alias("score_centi"), "pct")
+    m = aggregates.cell_metrics(_cells(spark, sf_dir), 1600.0, area_unit=1600.0 / 3_000_000_000.0)
+    floor = lambda c, k: F.floor(F.col(c) * k + 1e-9).cast("long")
+    return m.select("cell_x", "cell_y", "n", floor("density", 1000).alias("density_milli"), floor("avg_score", 100).alias("score_centi"), floor("pct_covered", 1).alias("pct"))
 
 
 _OLD = _CELLS.replace(f"FROM {SQL} GROUP", f"FROM {SQL} WHERE status <> 'P' GROUP")

@@ -33,9 +33,8 @@ def keep_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 cast(sum(CASE WHEN {_KEEP} THEN area END) as bigint) AS area_out, max(area) AS largest,
 count(*) FILTER (WHERE area > 30000000) AS over_cap FROM {SQL} GROUP BY zone""")
 def zone_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = parcels(spark, sf_dir)
-    more = df.groupBy("zone").agg(F.max("area").alias("largest"), F.count_if(F.col("area") > 30_000_000).alias("over_cap"))
-    return aggregates.totals(df, predicates.retention(MAX_AREA, MAX_WATER), "area", "zone").join(more, "zone")
+    more = [F.max("area").alias("largest"), F.count_if(F.col("area") > 30_000_000).alias("over_cap")]
+    return aggregates.totals(parcels(spark, sf_dir), predicates.retention(MAX_AREA, MAX_WATER), "area", "zone", more=more)
 
 
 @query(f"""SELECT zone, count(*) AS parcels, cast(sum(area) as bigint) AS area, count(patch_mean) AS with_patch,

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.functions import arrays, wkb
+from parcelspark.sources.readers import checked
 
 #: Metres of a pixel.
 PIXEL = 2.5
@@ -29,7 +30,8 @@ def outlines(blocks: DataFrame, core: int, halo: int, layers: list[str]) -> Data
     dtype, labels, and a float64 layer of the same shape for each name in `layers`).
 
     A row for each label whose centroid its window's core holds: geometry (columns and rows as x and y, times
-    the pixel), area, parts, extents, whether the window cuts it, and each layer's mean (NaN if any is NaN).
+    the pixel), area, parts, extents, whether the window cuts it, and each layer's mean (NaN if any is NaN). A block that
+    reaches further than `halo` beyond its core is an error.
     """
     schema = "tile_key string, row int, col int, label int, geometry binary, area_m2 double, n_parts int, ext_h_px int, ext_w_px int, touches_window_edge boolean" + "".join(f", {c} double" for c in layers)
     names = [x.split(" ")[0] for x in schema.split(", ")]
@@ -49,8 +51,8 @@ def outlines(blocks: DataFrame, core: int, halo: int, layers: list[str]) -> Data
             types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), *[pa.float64()] * len(layers)]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names)
 
-    del halo  # blocks come with their halo; the core alone decides
-    return blocks.mapInArrow(run, schema)
+    core_in = lambda corner, size: (F.col(corner[0]) >= F.col(corner[1])) & (F.col(corner[0]) - F.col(corner[1]) <= halo) & (F.col(corner[1]) + F.col(size) <= F.col(corner[0]) + core + halo)
+    return checked(blocks, rows_of_core_and_halo=core_in(("row", "row0"), "height"), columns_of_core_and_halo=core_in(("col", "col0"), "width")).mapInArrow(run, schema)
 
 
 def predicted(blocks: DataFrame, model: Callable[[np.ndarray], np.ndarray], patch: int, stride: int) -> DataFrame:

@@ -23,9 +23,8 @@ def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT tile, label, count(*) AS n, cast(floor(avg(value) * 1000) as bigint) AS value_milli, cast(sum(tax) as bigint) AS tax FROM {_PIXELS} GROUP BY tile, label")
 def label_zonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    px = _pixels(spark, sf_dir)
-    means = rasters.zonal_means(px, ["value"], "tile", "label").withColumn("value_milli", F.floor(F.col("value") * 1000).cast("long")).drop("value")
-    return means.join(px.groupBy("tile", "label").agg(F.sum("tax").alias("tax")), ["tile", "label"])
+    means = rasters.zonal_means(_pixels(spark, sf_dir), ["value"], "tile", "label", more=[F.sum("tax").alias("tax")])
+    return means.select("tile", "label", "n", F.floor(F.col("value") * 1000).cast("long").alias("value_milli"), "tax")
 
 
 @query(f"SELECT tile, row // 4 AS row, col // 4 AS col, bool_or(value > 48) AS hit FROM {_PIXELS} GROUP BY ALL")

@@ -13,7 +13,7 @@ from parcelspark.functions import geo, overlay, utm, wkb
 from parcelspark.functions.keys import neighbour_zone, utm_zone
 from parcelspark.operators import joins
 from parcelspark.operators.aggregates import flags
-from parcelspark.operators.graph import connected_components
+from parcelspark.operators.graph import named_components
 from parcelspark.operators.predicates import quantised_score
 from parcelspark.plans.base import query
 from parcelspark.plans.view import parcels
@@ -32,15 +32,22 @@ def _boxed(df: DataFrame) -> DataFrame:
 
 def seam_pairs(rows: DataFrame, cell: float = SEAM_CELL) -> DataFrame:
     """Ids (a, b) of pieces of one parcel: of two tiles, or both cut by a window's edge, that overlap enough
-    (see overlay.is_seam_pair). Candidates come from a grid join on bounds; only they reach the kernel."""
-    d = _boxed(rows.select("id", "tile_key", "touches_window_edge", "geometry", "xmin", "ymin", "xmax", "ymax"))
+    (see overlay.is_seam_pair). Candidates come from a grid join of ids and bounds; geometries are fetched by id
+    for them alone."""
+    d = _boxed(rows.select("id", "tile_key", "touches_window_edge", "xmin", "ymin", "xmax", "ymax"))
     cut = (F.col("a.tile_key") != F.col("b.tile_key")) | (F.coalesce(F.col("a.touches_window_edge"), F.lit(False)) & F.coalesce(F.col("b.touches_window_edge"), F.lit(False)))
-    pairs = joins.self_pairs(d, cell, on=cut).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.tile_key").alias("tile_key"), (F.col("a.tile_key") == F.col("b.tile_key")).alias("same"), F.col("a.geometry").alias("ga"), F.col("b.geometry").alias("gb"))
-    measured = geo.overlaps(pairs, "ga", "gb", "tile_key")
+    pairs = joins.self_pairs(d, cell, on=cut).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.tile_key").alias("tile_key"), (F.col("a.tile_key") == F.col("b.tile_key")).alias("same"))
+    measured = geo.overlaps(_with_shapes(pairs, rows), "ga", "gb", "tile_key")
     over = F.col("overlap")
     return measured.where((over > 0) & (over >= OVERLAP_SHARE * F.least("area_a", "area_b")) & (F.col("same") | (over >= OVERLAP_M2))).select("a", "b")
 
 
+def _with_shapes(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """`pairs` (a, b) with the geometries of both ids."""
+    shape = lambda k: rows.select(F.col("id").alias(k), F.col("geometry").alias(f"g{k}"))
+    return pairs.join(shape("a"), "a").join(shape("b"), "b")
+
+
 def _dissolved(table: pa.Table) -> pa.Table:
     order = np.argsort(table["id"].to_numpy(zero_copy_only=False))
     rows = table.take(pa.array(order)).to_pylist()
@@ -57,9 +64,7 @@ def dissolve(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     mean, union of geometries. A parcel has few pieces, so a group fits a task; single rows never leave
     the JVM."""
     rows = rows if "claimed" in rows.columns else rows.withColumn("claimed", F.lit(False))
-    number = materialise(rows.select("id", F.xxhash64("id").alias("n")), "release-ids")
-    named = pairs.select(F.xxhash64("a").alias("src"), F.xxhash64("b").alias("dst"))
-    groups = materialise(connected_components(named).join(number, F.col("node") == F.col("n")).select("id", F.col("component").alias("gid")), "release-groups")
+    groups = materialise(named_components(pairs, "a", "b").toDF("id", "gid"), "release-groups")
     out = rows.select("id", "tile_key", "pf_mean", "geometry", "claimed")
     merged = out.join(groups, "id").groupBy("gid").applyInArrow(_dissolved, "id string, tile_key string, pf_mean double, geometry binary")
     return out.join(groups, "id", "left_anti").drop("claimed").unionByName(merged)
@@ -87,12 +92,12 @@ def convert(tiles: DataFrame, collection: str, year: int, box: tuple[float, floa
 def cross_zone(rows: DataFrame, cell: float = SEAM_CELL) -> DataFrame:
     """Rows of all zones with claimed parcels merged with the pieces a neighbouring zone kept: united
     under the least claimed id. All zones are paired at once, so mutual claims merge once."""
-    d = _boxed(rows.withColumn("zone", F.substring("tile_key", 1, 2).cast("int")).select("id", "tile_key", "zone", "claimed", "geometry", "xmin", "ymin", "xmax", "ymax"))
+    d = _boxed(rows.withColumn("zone", F.substring("tile_key", 1, 2).cast("int")).select("id", "tile_key", "zone", "claimed", "xmin", "ymin", "xmax", "ymax"))
     zone = F.col("a.zone")
     beside = (F.col("b.zone") == neighbour_zone(zone, 1)) | (F.col("b.zone") == neighbour_zone(zone, -1))
-    pairs = joins.grid_join(d.where("claimed"), d, cell, beside).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.tile_key").alias("tile_key"), F.col("a.geometry").alias("ga"), F.col("b.geometry").alias("gb"))
+    pairs = joins.grid_join(d.where("claimed"), d, cell, beside).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.tile_key").alias("tile_key"))
     over = F.col("overlap")
-    found = geo.overlaps(pairs, "ga", "gb", "tile_key").where((over >= OVERLAP_SHARE * F.least("area_a", "area_b")) & (over >= OVERLAP_M2)).select("a", "b")
+    found = geo.overlaps(_with_shapes(pairs, rows), "ga", "gb", "tile_key").where((over >= OVERLAP_SHARE * F.least("area_a", "area_b")) & (over >= OVERLAP_M2)).select("a", "b")
     return dissolve(rows, found)
 
 
@@ -166,36 +171,69 @@ def claims(parcels_: DataFrame, squares: DataFrame) -> DataFrame:
     return flagged.select("id", (F.col("_home") | F.col("claimed")).alias("in_utm_zone"), "claimed")
 
 
-def land_shares(rows: DataFrame, land: DataFrame, degree: float = 1.0) -> DataFrame:
-    """`rows` (id, bounds, geometry) with `land_share`. Parcels and land pieces meet on cells of a degree and
-    then by bounds; a parcel gathers the few pieces around it. Without any it lies at sea."""
-    cells = lambda df: joins.with_cells(_boxed(df), degree)
-    p, q = cells(rows.select("id", "geometry", "xmin", "ymin", "xmax", "ymax")).alias("a"), cells(land.select("geometry", "xmin", "ymin", "xmax", "ymax")).alias("b")
-    met = p.join(q, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & joins.boxes_meet("a", "b"))
-    pieces = met.groupBy(F.col("a.id").alias("id")).agg(F.first("a.geometry").alias("g"), F.collect_set("b.geometry").alias("pieces"))
-
-    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def land_cells(land: DataFrame, degree: float = 1.0) -> DataFrame:
+    """`(cx, cy, geometry, whole)`: land polygons cut to cells of a degree; `whole` if a piece fills its cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for g, ps in zip(batch.column("g").to_pylist(), batch.column("pieces").to_pylist(), strict=True):
-                a = wkb.parse(g)
-                box = wkb.bounds(a)
-                zone, south = int((box[0] + box[2]) / 2 + 180) // 6 + 1, (box[1] + box[3]) / 2 < 0
-                near = [[[c for c in (_clipped(r, box) for r in part) if len(c) >= 4] for part in wkb.parse(x)] for x in ps]
-                flat = [utm.projected([part for part in x if part], zone, south) for x in near]
-                out.append(overlay.land_fraction(utm.projected(a, zone, south), [x for x in flat if x]))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(out, pa.float64())], ["id", "land_share"])
+            for data in batch.column(0).to_pylist():
+                for part in wkb.parse(data):
+                    x0, y0, x1, y1 = (int(np.floor(v / degree)) for v in wkb.bounds([part]))
+                    for cx in range(x0, x1 + 1):  # a column first, then its cells, so that no cell walks a whole coast
+                        column = [c for r in part if len(c := _between(r, 0, cx * degree, (cx + 1) * degree)) >= 4]
+                        for cy in range(y0, y1 + 1):
+                            rings = [c for r in column if len(c := _between(r, 1, cy * degree, (cy + 1) * degree)) >= 4]
+                            if rings and (size := wkb.polygon_area(rings)) > 0:
+                                out.append((cx, cy, wkb.write([rings]), size >= degree * degree * (1 - 1e-12)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.bool_()))], ["cx", "cy", "geometry", "whole"])
+
+    return land.select("geometry").mapInArrow(run, "cx long, cy long, geometry binary, whole boolean")
+
+
+def _between(ring: np.ndarray, axis: int, low: float, high: float) -> np.ndarray:
+    for limit, below in ((low, False), (high, True)):
+        if len(ring):
+            ring = wkb.clip(ring, axis, limit, below)
+    return ring
+
 
+def land_shares(rows: DataFrame, land: DataFrame, degree: float = 1.0) -> DataFrame:
+    """`rows` (id, bounds, geometry) with `land_share`: the share of the area that land covers. At sea it is 0.
+
+    Land is cut to cells first, so a parcel meets the pieces of its cells and no continent. In the first of two
+    tiers parcels whose bounds lie in cells that are all land are settled by an equi-join, without a shape; the
+    others are gathered by cell with its pieces and measured there, each cell's part of a parcel adding up.
+    """
+    pieces = materialise(land_cells(land, degree), "land-cells")
+    whole = pieces.where("whole").select("cx", "cy").distinct().withColumn("_full", F.lit(True))
+    boxes = joins.with_cells(_boxed(rows.select("id", "xmin", "ymin", "xmax", "ymax")), degree).select("id", "cx", "cy")
+    inland = boxes.join(whole, ["cx", "cy"], "left").groupBy("id").agg(F.bool_and(F.coalesce("_full", F.lit(False))).alias("inland")).where("inland").select("id")
+    rest = joins.with_cells(_boxed(rows.select("id", "geometry", "xmin", "ymin", "xmax", "ymax")), degree).select("id", "cx", "cy", "geometry").join(inland, "id", "left_anti")
+    rest = rest.join(pieces.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi")
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.join(pieces.mapInArrow(share, f"id {kind}, land_share double"), "id", "left").withColumn("land_share", F.coalesce("land_share", F.lit(0.0)))
+
+    def covered(parcels_: pa.Table, around: pa.Table) -> pa.Table:
+        shapes, out = [wkb.parse(x) for x in around["geometry"].to_pylist()], []
+        for data in parcels_["geometry"].to_pylist():
+            a = wkb.parse(data)
+            box = wkb.bounds(a)
+            zone, south = int((box[0] + box[2]) / 2 + 180) // 6 + 1, (box[1] + box[3]) / 2 < 0
+            near = [[c for r in s[0] if len(c := _clipped(r, box)) >= 4] for s in shapes if not overlay.boxes_apart(a, s)]
+            flat = [utm.projected([part], zone, south) for part in near if part]
+            here = utm.projected(a, zone, south)
+            own = wkb.area(here)
+            out.append(overlay.covered_area(here, flat) / own if own > 0 and flat else 0.0)
+        return pa.table([parcels_["id"], pa.array(out, pa.float64())], names=["id", "part"])
+
+    parts = rest.groupBy("cx", "cy").cogroup(pieces.select("cx", "cy", "geometry").groupBy("cx", "cy")).applyInArrow(covered, f"id {kind}, part double")
+    shares = parts.groupBy("id").agg(F.least(F.lit(1.0), F.sum("part")).alias("land_share")).unionByName(inland.withColumn("land_share", F.lit(1.0)))
+    return rows.join(shares, "id", "left").withColumn("land_share", F.coalesce("land_share", F.lit(0.0)))
 
 
 def _clipped(ring: np.ndarray, box: tuple[float, float, float, float], pad: float = 0.01) -> np.ndarray:
-    """A land ring near a parcel: continents need not be projected whole."""
-    for axis, limit, below in ((0, box[0] - pad, False), (0, box[2] + pad, True), (1, box[1] - pad, False), (1, box[3] + pad, True)):
-        if len(ring):
-            ring = wkb.clip(ring, axis, limit, below)
-    return ring
+    """A land ring near a parcel: a cell's coast need not be projected whole."""
+    return _between(_between(ring, 0, box[0] - pad, box[2] + pad), 1, box[1] - pad, box[3] + pad)
 
 
 def on_land(rows: DataFrame, land: DataFrame, least: float = LAND_SHARE) -> DataFrame:

@@ -10,6 +10,8 @@ from parcelspark.operators.graph import connected_components
 from parcelspark.plans.base import query
 from parcelspark.plans.view import CELL, SQL, parcels
 
+#: Side of a map sheet, and of the cells that sheets' extents and strips are paired by.
+SHEET = 300
 _MEET = "a.x0 <= b.x1 AND a.x1 >= b.x0 AND a.y0 <= b.y1 AND a.y1 >= b.y0"
 _OVERLAP = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
 _AREA = "(({0}.x1 - {0}.x0) * ({0}.y1 - {0}.y0))"
@@ -69,8 +71,8 @@ FROM {_SHEETS} a JOIN {_SHEETS} b ON a.sheet < b.sheet AND {_MEET})"""
 
 def _strips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Padded rectangles where the extents of two map sheets overlap: as many as neighbouring sheets."""
-    e = aggregates.extents(parcels(spark, sf_dir).withColumn("sheet", F.floor(F.col("x0") / 300).cast("long")), "sheet")
-    both = e.alias("a").join(e.alias("b"), (F.col("a.sheet") < F.col("b.sheet")) & joins.boxes_meet("a", "b"))
+    e = aggregates.extents(parcels(spark, sf_dir).withColumn("sheet", F.floor(F.col("x0") / SHEET).cast("long")), "sheet")
+    both = joins.self_pairs(e, SHEET, "sheet")
     edge = lambda f, c, d: (f(f"a.{c}", f"b.{c}") + d).alias(c)
     return both.select(F.col("a.sheet").alias("sa"), F.col("b.sheet").alias("sb"), edge(F.greatest, "x0", -1), edge(F.greatest, "y0", -1), edge(F.least, "x1", 1), edge(F.least, "y1", 1))
 
@@ -85,19 +87,19 @@ _IN = "EXISTS (SELECT 1 FROM s WHERE d.x0 <= s.x1 AND d.x1 >= s.x0 AND d.y0 <= s
 
 @query(f"WITH s AS {_STRIPS} SELECT id FROM {SQL} d WHERE {_IN}")
 def strip_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.in_any_box(parcels(spark, sf_dir), _strips(spark, sf_dir)).select("id")
+    return joins.in_any_box(parcels(spark, sf_dir), _strips(spark, sf_dir), SHEET).select("id")
 
 
 @query(f"WITH s AS {_STRIPS} SELECT id FROM {SQL} d WHERE NOT {_IN}")
 def strip_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.in_any_box(parcels(spark, sf_dir), _strips(spark, sf_dir), keep=False).select("id")
+    return joins.in_any_box(parcels(spark, sf_dir), _strips(spark, sf_dir), SHEET, keep=False).select("id")
 
 
 @query(f"WITH s AS (SELECT tile_key AS tk, min(x0) AS x0, min(y0) AS y0, max(x0) AS x1, min(y0) AS y1 FROM {SQL} WHERE status = 'P' GROUP BY tile_key) SELECT id FROM {SQL} d WHERE EXISTS (SELECT 1 FROM s WHERE s.tk = d.tile_key AND d.x0 <= s.x1 AND d.x1 >= s.x0 AND d.y0 <= s.y1 AND d.y1 >= s.y0)")
 def tile_box_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = parcels(spark, sf_dir)
     boxes = df.where("status = 'P'").groupBy("tile_key").agg(F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x0").alias("x1"), F.min("y0").alias("y1"))
-    return joins.in_any_box(df, boxes, on=["tile_key"]).select("id")
+    return joins.in_any_box(df, boxes, CELL, on=["tile_key"]).select("id")
 
 
 @query(f"SELECT id, id IN (SELECT a FROM {_SEAMS}) AS paired FROM {SQL}")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions import overlay, utm, wkb
 from parcelspark.plans.release import SEAM_CELL
 from parcelspark.operators import joins
+from parcelspark.sources.readers import by_range
 
 #: Columns of a released file, in order, and rows that a row group may have.
 COLUMNS = ["id", "collection", "geometry", "bbox", "metrics:area", "metrics:perimeter", "score", "determination:datetime", "determination:method"]
@@ -24,10 +25,10 @@ def file_problems(spark: SparkSession, root: str, columns: list[str] | None = No
     be read is a problem, not the end of the run."""
     columns = columns or COLUMNS
 
-    def problems(data: bytes, path: str) -> list[str]:
+    def problems(file, size: int) -> list[str]:
         import pyarrow.parquet as pq
 
-        f = pq.ParquetFile(pa.BufferReader(data))
+        f = pq.ParquetFile(file)
         out, meta = [], f.metadata
         if f.schema_arrow.names != columns:
             out.append(f"columns {','.join(f.schema_arrow.names)}")
@@ -38,7 +39,7 @@ def file_problems(spark: SparkSession, root: str, columns: list[str] | None = No
             out.append(f"compression {','.join(sorted(codecs))}")
         if out and out[0].startswith("columns") or not meta.num_rows:
             return out
-        rng = np.random.default_rng([seed, len(data)])
+        rng = np.random.default_rng([seed, size])
         t = f.read_row_group(int(rng.integers(len(groups))), columns=["id", "geometry", "metrics:area", "score"])
         t = t.take(pa.array(np.sort(rng.choice(len(t), min(sample, len(t)), replace=False))))
         area = t["metrics:area"].to_numpy(zero_copy_only=False)
@@ -53,18 +54,13 @@ def file_problems(spark: SparkSession, root: str, columns: list[str] | None = No
         bad = sum(not p or abs(wkb.area(overlay.repaired(p)) - wkb.area(p)) > 1e-6 * wkb.area(p) for p in shapes)
         return [*out, *([f"{bad} invalid geometries in sample"] if bad else [])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                try:
-                    rows += [(path, p) for p in problems(data, path)]
-                except Exception as e:  # noqa: BLE001  (any unreadable file is one more row)
-                    rows.append((path, f"unreadable: {type(e).__name__}"))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)], ["path", "problem"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(root).select("path", "content")
-    return files.mapInArrow(run, "path string, problem string")
+    def rows(path: str, file, size: int) -> list[tuple[str, str]]:
+        try:
+            return [(path, p) for p in problems(file, size)]
+        except Exception as e:  # noqa: BLE001  (any unreadable file is one more row)
+            return [(path, f"unreadable: {type(e).__name__}")]
+
+    return by_range(spark, root, "*.parquet", rows, "path string, problem string")
 
 
 def zone_edge_pairs(rows: DataFrame, share: float = 0.5) -> DataFrame:

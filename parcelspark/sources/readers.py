@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,23 +71,45 @@ def file_listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFram
     return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def read_footers(spark: SparkSession, root: str) -> DataFrame:
-    """`(path, n_rows, n_row_groups, schema, metadata)` of Parquet files, read by executors through Spark's
-    own file access (so any store it opens will do). A file is read whole: meant for indexes, not for data."""
+def by_range(spark: SparkSession, root: str, pattern: str, read: Callable, schema: str) -> DataFrame:
+    """Rows of `read(path, file, size)` for each file below a root, opened by executors for random access: no more of
+    a file is read than `read` asks for. Files are found by Spark's listing."""
+    names = [x.split(" ")[0] for x in schema.split(", ")]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root).select("path", "length")
+    kinds = spark.createDataFrame([], schema).schema
 
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs
+        from pyspark.sql.pandas.types import to_arrow_type
 
+        types = [to_arrow_type(f.dataType) for f in kinds.fields]
         for batch in batches:
             rows = []
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                f = pq.ParquetFile(pa.BufferReader(content.as_buffer()))
-                kv = {k.decode(): v.decode(errors="replace") for k, v in (f.schema_arrow.metadata or {}).items()} | {k.decode(): v.decode(errors="replace") for k, v in (f.metadata.metadata or {}).items()}
-                rows.append((path, f.metadata.num_rows, f.metadata.num_row_groups, ",".join(f"{x.name}:{x.type}" for x in f.schema_arrow), json.dumps(kv)))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()))], ["path", "n_rows", "n_row_groups", "schema", "metadata"])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(root).select("path", "content")
-    return files.mapInArrow(footers, "path string, n_rows long, n_row_groups int, schema string, metadata string")
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                fs, name = pa.fs.FileSystem.from_uri(path)
+                with fs.open_input_file(name) as f:
+                    rows += read(path, f, size)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+    return files.mapInArrow(run, schema)
+
+
+def read_footers(spark: SparkSession, root: str) -> DataFrame:
+    """`(path, n_rows, n_row_groups, schema, metadata)` of Parquet files; only their footers are read."""
+
+    def footer(path: str, file, size: int) -> list[tuple]:
+        import pyarrow.parquet as pq
+
+        f = pq.ParquetFile(file)
+        kv = {k.decode(): v.decode(errors="replace") for k, v in ((f.schema_arrow.metadata or {}) | (f.metadata.metadata or {})).items()}
+        return [(path, f.metadata.num_rows, f.metadata.num_row_groups, ",".join(f"{x.name}:{x.type}" for x in f.schema_arrow), json.dumps(kv))]
+
+    return by_range(spark, root, "*.parquet", footer, "path string, n_rows long, n_row_groups int, schema string, metadata string")
+
+
+def footer_values(footers: DataFrame, *names: str) -> DataFrame:
+    """`(path, names...)`: the texts of footer entries, null where a file has none."""
+    return footers.select("path", *(F.get_json_object("metadata", f"$['{n}']").alias(n) for n in names))
 
 
 def checked(df: DataFrame, **rules: Column) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelspark.functions.hashes import etag, part_size
 from parcelspark.functions.keys import hilbert
+from parcelspark.session import materialise
 
 #: Rows of a row group in a release and in a merged zone.
 RELEASE_ROWS, MERGED_ROWS = 8192, 50_000
@@ -58,10 +61,63 @@ def write_documents(df: DataFrame, path: str, document: Column, by: list[str]) -
     df.select(*by, document.alias("value")).write.mode("overwrite").partitionBy(*by).text(path)
 
 
-def patched(document: Column, changes: dict[str, str]) -> Column:
-    """A JSON document with top-level texts set; setting them again changes nothing."""
-    parsed = F.from_json(document, "map<string,string>")
-    return F.to_json(F.map_concat(F.map_filter(parsed, lambda k, _: ~k.isin(*changes)), F.create_map(*(F.lit(x) for kv in changes.items() for x in kv))))
+def _placed(document: dict, key: str, value: object, after: str | None) -> dict:
+    """`document` with a key set: in its place if it is there, else behind `after`, else at the end."""
+    if key in document or after not in document:
+        return {**document, key: value}
+    out = {}
+    for k, v in document.items():
+        out[k] = v
+        if k == after:
+            out[key] = value
+    return out
+
+
+def patched_document(text: str, values: dict[str, object], after: dict[str, str] | None = None) -> str:
+    """A JSON object with values set, of any type; a path such as "properties.license" names a member of a member
+    (made where it is missing). The order of keys stays; a document that has the values already is returned as it is."""
+    document = json.loads(text)
+
+    def put(node: dict, path: list[str], value: object, whole: str) -> dict:
+        if len(path) == 1:
+            return _placed(node, path[0], value, (after or {}).get(whole))
+        child = node.get(path[0])
+        return _placed(node, path[0], put(child if isinstance(child, dict) else {}, path[1:], value, whole), None)
+
+    new = document
+    for path, value in values.items():
+        new = put(new, path.split("."), value, path)
+    return text if new == document and list(new) == list(document) else json.dumps(new, ensure_ascii=False, separators=(",", ":"))
+
+
+def patched_table(text: str, cells: dict[str, str]) -> str:
+    """A text with tables of bars: the second cell of rows whose first cell is a key gets its value."""
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        parts = line.split("|")
+        if len(parts) >= 4 and (value := cells.get(parts[1].strip())) is not None and parts[2].strip() != value:
+            parts[2] = f" {value} "
+            lines[i] = "|".join(parts)
+    return "\n".join(lines)
+
+
+def patched(df: DataFrame, column: str, values: dict[str, object] | None = None, after: dict[str, str] | None = None, cells: dict[str, str] | None = None) -> DataFrame:
+    """`df` with the documents of `column` patched (as JSON by `values`, or as text with tables by `cells`) and a
+    boolean column `drifted`: was there anything to change? Where it is false everywhere, nothing drifted;
+    patching again changes nothing. A null document stays null."""
+    place, names = df.columns.index(column), [*df.columns, "drifted"]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            old = batch.column(place).to_pylist()
+            new = [x if x is None else patched_table(x, cells) if cells is not None else patched_document(x, values or {}, after) for x in old]
+            columns = [*batch.columns, pa.array([a != b for a, b in zip(old, new, strict=True)], pa.bool_())]
+            columns[place] = pa.array(new, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    return df.mapInArrow(run, df.withColumn("drifted", F.lit(False)).schema)
 
 
 def changed_objects(local: DataFrame, remote: DataFrame) -> DataFrame:
@@ -136,17 +192,28 @@ def clear_partition(spark, root: str, **values: object) -> bool:
 
 
 def swap(spark, staged: dict[str, str]) -> None:
-    """Put staged folders in their targets' places, once every one is complete (has _SUCCESS)."""
+    """Put staged folders in their targets' places, once every one is complete (has _SUCCESS). What was there is
+    moved aside first and deleted last, so that a crash in between loses no partition: the next call ends the
+    work of the last (a target that is gone while its old one is aside gets it back, or the staged one)."""
     for source in staged:
         p, fs = _files(spark, f"{source}/_SUCCESS")
         if not fs.exists(p):
             raise ValueError(f"{source} is not complete")
+    aside = {}
     for source, target in staged.items():
         (a, fs), (b, _) = _files(spark, source), _files(spark, target)
-        fs.delete(b, True)
+        old, _ = _files(spark, f"{target.rstrip('/')}.replaced")
+        if fs.exists(b):
+            fs.delete(old, True)
+            if not fs.rename(b, old):
+                raise OSError(f"{target} could not be moved aside")
+        aside[target] = old
         fs.mkdirs(b.getParent())
         if not fs.rename(a, b):
+            fs.rename(old, b)
             raise OSError(f"{source} could not be moved to {target}")
+    for old in aside.values():
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def write_compact(df: DataFrame, path: str, by: str) -> None:
@@ -167,3 +234,54 @@ def relayout_plan(objects: DataFrame, target: Column) -> DataFrame:
     there = objects.select(F.col("key").alias("target"), F.col("size").alias("_there"))
     moved = named.where(F.col("target") != F.col("key")).join(there, "target", "left")
     return moved.select("key", "target", F.when(F.col("_there") == F.col("size"), "delete").otherwise("copy").alias("action"))
+
+
+def longest_first(files: DataFrame) -> DataFrame:
+    """`files` (name, size) with `turn`, their place by falling size and then name, as work is dealt. Sizes are
+    ranked by ranges: each task numbers its own, after the sum of those before it."""
+    ordered = files.repartitionByRange(F.desc("size"), "name").sortWithinPartitions(F.desc("size"), "name")
+    ordered = ordered.withColumn("_part", F.spark_partition_id()).withColumn("_nth", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
+    ordered = materialise(ordered, "longest-first")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ordered.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return ordered.join(F.broadcast(starts), "_part").select(*files.columns, (F.col("_start") + F.col("_nth") + 1).alias("turn"))
+
+
+def uploaded(objects: DataFrame, send: Callable[[str, bytes, int | None], str], part: int | None = None, attempts: int = 4) -> DataFrame:
+    """`(key, size, etag, tries, landed)`: each object (key, content) sent by the executors through
+    `send(key, data, number)`, whole (number None) or in parts from 1 on, each part again up to `attempts` times. `send`
+    returns the store's digest of what it got. An object has landed if the digest of each piece, and so of the whole,
+    is its own. Sending again is harmless; nothing is deleted."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        def piece(key: str, data: bytes, number: int | None) -> tuple[int, bool]:
+            for n in range(1, attempts + 1):
+                try:
+                    if send(key, data, number).strip('"') == hashlib.md5(data).hexdigest():
+                        return n, True
+                except OSError:
+                    continue
+            return attempts, False
+
+        for batch in batches:
+            rows = []
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                size = part_size(len(data), part) if part else len(data)
+                pieces = [(None, data)] if not part or len(data) <= size else [(i // size + 1, data[i : i + size]) for i in range(0, len(data), size)]
+                sent = [piece(key, d, n) for n, d in pieces]
+                rows.append((key, len(data), etag(data, size if len(pieces) > 1 else None), sum(n for n, _ in sent), all(ok for _, ok in sent)))
+            types = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["key", "size", "etag", "tries", "landed"])
+
+    return objects.select("key", "content").mapInArrow(run, "key string, size long, etag string, tries int, landed boolean")
+
+
+def verified(sent: DataFrame, remote: DataFrame) -> DataFrame:
+    """`(key, problem)` of objects sent (key, size, etag) that a listing (key, size, etag) lacks or has otherwise."""
+    r = remote.select("key", F.col("size").alias("_size"), F.regexp_replace("etag", '"', "").alias("_etag"))
+    problem = F.when(F.col("_size").isNull(), "missing").when(F.col("_size") != F.col("size"), "size").when(F.col("_etag") != F.col("etag"), "etag")
+    return sent.join(r, "key", "left").select("key", problem.alias("problem")).where(F.col("problem").isNotNull())
