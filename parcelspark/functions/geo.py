@@ -14,6 +14,8 @@ from parcelspark.functions.utm import forward, projected
 
 #: Square metres below which holes are filled and parts dropped.
 HOLE_M2, PART_M2 = 20.0, 900.0
+#: The ellipsoid that positions refer to.
+AXIS, FLATTENING = 6_378_137.0, 1 / 298.257223563
 _METRICS = "area_m2 double, perimeter_m double, n_parts int, n_holes int, n_coordinates int, xmin double, ymin double, xmax double, ymax double, cx double, cy double"
 
 
@@ -156,3 +158,35 @@ def compact(df: DataFrame, geometry: str = "geometry", tile_key: str = "tile_key
 def grid_box(x0: float, y0: float, w: int, h: int) -> bytes | None:
     """WKB of a box of w by h grid steps, for tests and examples."""
     return wkb.write(decode(int(x0), int(y0), np.array([w, 0, -w, 0]).tolist(), np.array([0, h, 0, -h]).tolist(), [5], [1]))
+
+
+def _authalic(lat: np.ndarray) -> np.ndarray:
+    """Square metres between the equator and a latitude, for a radian of longitude, on the ellipsoid."""
+    e2 = FLATTENING * (2 - FLATTENING)
+    e, s = np.sqrt(e2), np.sin(np.radians(lat))
+    return AXIS**2 / 2 * (1 - e2) * (s / (1 - e2 * s * s) + np.arctanh(e * s) / e)
+
+
+def ellipsoid_areas(df: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """`df` with `ellipsoid_m2`: the area of polygons in degrees on the ellipsoid itself, exact for edges that are straight
+    in the equal-area projection (over a parcel, geodesics are)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes = [wkb.parse(x) for x in batch.column(geometry).to_pylist()]
+            flat = Flat(shapes)
+            area, _, _, _ = flat.rings(np.column_stack([np.radians(flat.points[:, 0]), _authalic(flat.points[:, 1])]))
+            total = flat.by_row(np.where(flat.shell, 1.0, -1.0) * np.abs(area))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total, mask=np.array([not p for p in shapes], bool))], [*batch.schema.names, "ellipsoid_m2"])
+
+    return df.mapInArrow(run, df.selectExpr("*", "cast(null as double) as ellipsoid_m2").schema)
+
+
+def calibrated(df: DataFrame, area: str, limit: float = 0.02) -> DataFrame:
+    """One row: median ratio of a column of areas to the ellipsoid's, and `spread` (99th less 1st percentile); a spread
+    above `limit` is an error, since one factor would not do."""
+    from pyspark.sql import functions as F
+
+    r = F.percentile_approx(F.col(area) / F.col("ellipsoid_m2"), F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99)), 10_000)
+    out = ellipsoid_areas(df).agg(r.alias("r")).select(F.col("r")[1].alias("ratio"), (F.col("r")[2] - F.col("r")[0]).alias("spread"))
+    return out.where(F.when(F.col("spread") <= limit, True).otherwise(F.raise_error(F.lit("areas differ by no common factor"))))

@@ -132,3 +132,11 @@ def cell_metrics(cells: DataFrame, cell_area: float, area_unit: float = 1.0) ->
         "cell_x", "cell_y", "n", (F.col("n") / F.lit(float(cell_area))).alias("density"), (F.col("score_sum") / F.col("n")).alias("avg_score"),
         F.least(F.lit(100.0), F.col("area") * F.lit(100.0 * area_unit) / F.lit(float(cell_area))).alias("pct_covered"),
     )
+
+
+def seeded_sample(df: DataFrame, key: str, most: int, seed: int, *by: str) -> DataFrame:
+    """At most `most` rows of each group, those whose keys' seeded hashes are least. (Spark keeps no more than that
+    many of a group in each task before anything moves.)"""
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy(mark, key))
+    return df.withColumn("_n", nth).where(F.col("_n") <= most).drop("_n")

@@ -97,3 +97,13 @@ def override(df: DataFrame, by: DataFrame, key: str, columns: list[str]) -> Data
     """`df` with `columns` replaced where `by` has a row for the key and a value that is not null."""
     named = by.select(key, *(F.col(c).alias(f"_new_{c}") for c in columns))
     return df.join(named, key, "left").select(*(F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c) for c in df.columns))
+
+
+def count_gate(counted: DataFrame, published: DataFrame, key: str, tolerance: float = 0.0) -> DataFrame:
+    """`(key, counted, published, problem)` of published figures (key, n) that the counted ones (key, n) do not bear
+    out: 'unpublished', 'uncounted', or 'differs' by more than a share."""
+    a, b = counted.select(key, F.col("n").alias("counted")), published.select(key, F.col("n").alias("published"))
+    both = a.join(b, key, "full")
+    apart = F.abs(F.col("counted") - F.col("published")) > F.lit(tolerance) * F.col("counted")
+    problem = F.when(F.col("published").isNull(), "unpublished").when(F.col("counted").isNull(), "uncounted").when(apart, "differs")
+    return both.withColumn("problem", problem).where(F.col("problem").isNotNull())

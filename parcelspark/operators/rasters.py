@@ -75,3 +75,15 @@ def class_areas(pixels: DataFrame, classes: dict[str, list[int]], cell_area: flo
 def band_stats(pixels: DataFrame, value: str, *by: str) -> DataFrame:
     """Minimum, maximum, mean, deviation of the population, and percent of values that are valid."""
     return pixels.groupBy(*by).agg(F.min(value).alias("minimum"), F.max(value).alias("maximum"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("stddev"), (F.count(value) * 100.0 / F.count("*")).alias("valid_percent"))
+
+
+def world_mosaic(points: DataFrame, zoom: int, value: str, expected: DataFrame | None = None) -> DataFrame:
+    """`(x, y, value)`: the mean of points (lon, lat) in each pixel of the web map at `zoom`. With `expected` (x, y), a
+    pixel of it that no point reaches is an error: an image with holes is refused."""
+    from parcelspark.functions.keys import map_tile
+
+    x, y = map_tile(F.col("lon"), F.col("lat"), zoom)
+    out = points.groupBy(x.alias("x"), y.alias("y")).agg(F.avg(value).alias("value"))
+    if expected is not None and (hole := expected.select("x", "y").join(out, ["x", "y"], "left_anti").take(1)):
+        raise ValueError(f"no value at pixel {hole[0]['x']}, {hole[0]['y']}")
+    return out

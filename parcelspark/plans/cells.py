@@ -98,7 +98,11 @@ def tier_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.when(rows > 1_200_000, "large").when(rows > 400_000, "medium").otherwise("small").alias("tier"))
 
 
-@query()
+_CRC = "(SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) x(i)))"
+
+
+@query(f"""SELECT cast(xor(crc, 4294967295) % 8 as int) AS shard, count(DISTINCT tile_key) AS tiles, count(*) AS rows FROM (SELECT tile_key,
+list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(tile_key, ''), lambda x: ascii(x)::bigint)), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)) AS crc FROM {SQL}, {_CRC}) GROUP BY shard""")
 def hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shard = predicates.hash_shard(F.col("tile_key"), 8)
     return parcels(spark, sf_dir).groupBy(shard.alias("shard")).agg(F.count_distinct("tile_key").alias("tiles"), F.count("*").alias("rows"))

@@ -129,3 +129,22 @@ def score_rasters(blocks: DataFrame, tile: int = 256) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("tile_key"), pa.array(out, pa.binary())], ["tile_key", "tiff"])
 
     return blocks.mapInArrow(run, "tile_key string, tiff binary")
+
+
+def band_stacks(blocks: DataFrame, bands: int, tile: int = 256) -> DataFrame:
+    """`(tile_key, tiff)`: blocks of `bands` bands one after the other (tile_key, height, width, dtype, data) as tiled TIFFs
+    without overviews, each read back before it is returned. Another number of values is an error."""
+    from parcelspark.sources.formats import tiff_bytes, tiff_pixels
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                stack = np.frombuffer(r["data"], np.dtype(r["dtype"])).reshape(bands, r["height"], r["width"])
+                data = tiff_bytes(stack, tile, ())
+                if not (tiff_pixels(data) == stack).all():
+                    raise ValueError(f"{r['tile_key']} does not read back")
+                out.append(data)
+            yield pa.RecordBatch.from_arrays([batch.column("tile_key"), pa.array(out, pa.binary())], ["tile_key", "tiff"])
+
+    return blocks.mapInArrow(run, "tile_key string, tiff binary")

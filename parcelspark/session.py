@@ -46,11 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{path}"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, which drop_tables clears."""
+    return f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, and the table
     survives the loss of any executor (unlike cached blocks). Shuffle files of the write go when it ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     cleaned = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(cleaned)
     spark.conf.set(cleaned, "true")

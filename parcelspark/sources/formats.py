@@ -55,6 +55,19 @@ def shapefile_polygons(data: bytes) -> list[wkb.Polygons]:
     return out
 
 
+def shapefile_bytes(shapes: list[wkb.Polygons]) -> bytes:
+    """A .shp file of polygons: shells clockwise, holes counter-clockwise."""
+    records = b""
+    for i, polygons in enumerate(shapes, 1):
+        rings = [wkb.closed(r if (wkb.ring_area(r) < 0) == (k == 0) else r[::-1]) for p in polygons for k, r in enumerate(p)]
+        starts = np.concatenate([[0], np.cumsum([len(r) for r in rings])])
+        body = struct.pack("<i4d2i", 5, *wkb.bounds(polygons), len(rings), int(starts[-1])) + starts[:-1].astype("<i4").tobytes() + np.concatenate(rings).astype("<f8").tobytes()
+        records += struct.pack(">2i", i, len(body) // 2) + body
+    boxes = np.array([wkb.bounds(p) for p in shapes]).reshape(-1, 4)
+    extent = [*boxes[:, :2].min(0), *boxes[:, 2:].max(0)] if len(boxes) else [0.0] * 4
+    return struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(records)) // 2) + struct.pack("<2i", 1000, 5) + struct.pack("<8d", *extent, 0, 0, 0, 0) + records
+
+
 def read_shapefile(spark: SparkSession, root: str) -> DataFrame:
     """`(path, geometry, xmin, ymin, xmax, ymax)`, in order of xmin, ymin: what the sea rule reads."""
     parse = lambda data: [(wkb.write(p), *wkb.bounds(p)) for p in shapefile_polygons(data) if p]
@@ -215,7 +228,7 @@ def png_bytes(image: np.ndarray) -> bytes:
 
 
 def tiff_bytes(bands: np.ndarray, tile: int = 256, factors: tuple[int, ...] = (4, 8, 16, 32, 64)) -> bytes:
-    """A tiled, deflated TIFF of (bands, h, w) uint8 with overviews of area means, each level from the one
+    """A tiled, deflated TIFF of (bands, h, w) whole numbers with overviews of area means, each level from the one
     before; levels of less than a pixel are left out."""
     from parcelspark.functions.arrays import area_mean
 
@@ -226,12 +239,12 @@ def tiff_bytes(bands: np.ndarray, tile: int = 256, factors: tuple[int, ...] = (4
     for i, x in enumerate(levels):
         n, rows, cols = x.shape
         across, down = -(-cols // tile), -(-rows // tile)
-        padded = np.zeros((n, down * tile, across * tile), np.uint8)
+        padded = np.zeros((n, down * tile, across * tile), x.dtype.newbyteorder("<"))
         padded[:, :rows, :cols] = x
         blocks = [zlib.compress(padded[:, r * tile : r * tile + tile, c * tile : c * tile + tile].transpose(1, 2, 0).tobytes(), 6) for r in range(down) for c in range(across)]
         tags: list[tuple[int, int, list[int]]] = [
-            (254, 4, [int(i > 0)]), (256, 4, [cols]), (257, 4, [rows]), (258, 3, [8] * n), (259, 3, [8]), (262, 3, [1]), (277, 3, [n]), (284, 3, [1]), (322, 4, [tile]), (323, 4, [tile]),
-            (324, 4, [0] * len(blocks)), (325, 4, [len(b) for b in blocks]), (338, 3, [0] * (n - 1)), (339, 3, [1] * n),
+            (254, 4, [int(i > 0)]), (256, 4, [cols]), (257, 4, [rows]), (258, 3, [8 * x.itemsize] * n), (259, 3, [8]), (262, 3, [1]), (277, 3, [n]), (284, 3, [1]), (322, 4, [tile]), (323, 4, [tile]),
+            (324, 4, [0] * len(blocks)), (325, 4, [len(b) for b in blocks]), (338, 3, [0] * (n - 1)), (339, 3, [2 if x.dtype.kind == "i" else 1] * n),
         ]
         tags = [t for t in tags if t[2]]
         start, spill = len(out), len(out) + 2 + 12 * len(tags) + 4
@@ -271,8 +284,9 @@ def tiff_pixels(data: bytes, level: int = 0) -> np.ndarray:
         found[tag] = struct.unpack_from(f"<{count}{'H' if kind == 3 else 'I'}", data, at)
     cols, rows, n, tile = found[256][0], found[257][0], found[277][0], found[322][0]
     across, down = -(-cols // tile), -(-rows // tile)
-    out = np.zeros((n, down * tile, across * tile), np.uint8)
+    kind = np.dtype(f"<{'i' if found[339][0] == 2 else 'u'}{found[258][0] // 8}")
+    out = np.zeros((n, down * tile, across * tile), kind)
     for j, (at, size) in enumerate(zip(found[324], found[325], strict=True)):
         r, c = divmod(j, across)
-        out[:, r * tile : r * tile + tile, c * tile : c * tile + tile] = np.frombuffer(zlib.decompress(data[at : at + size]), np.uint8).reshape(tile, tile, n).transpose(2, 0, 1)
+        out[:, r * tile : r * tile + tile, c * tile : c * tile + tile] = np.frombuffer(zlib.decompress(data[at : at + size]), kind).reshape(tile, tile, n).transpose(2, 0, 1)
     return out[:, :rows, :cols]

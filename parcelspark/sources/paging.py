@@ -105,3 +105,39 @@ def probe(urls: DataFrame, head: Callable[[str], tuple[int, int]], absent: froze
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["url", "size"])
 
     return urls.select("url").mapInArrow(run, "url string, size long")
+
+
+def fetched(urls: DataFrame, get: Callable[[str], tuple[int, bytes]], attempts: int = 6, absent: frozenset[int] = frozenset({404, 410})) -> DataFrame:
+    """`(url, content, tries)`: whole objects by `get` (url to status and bytes), tried again after connection errors and
+    server failures; content is null where the store says there is none."""
+    import pyarrow as pa
+
+    def one(url: str) -> tuple[bytes | None, int]:
+        for n in range(1, attempts + 1):
+            try:
+                status, data = get(url)
+                checked_status(status, absent)
+                return data, n
+            except Absent:
+                return None, n
+            except ConnectionError:
+                if n == attempts:
+                    raise
+        raise AssertionError("unreachable")
+
+    def run(batches):
+        for batch in batches:
+            rows = [one(u) for u in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int32())], ["url", "content", "tries"])
+
+    return urls.select("url").mapInArrow(run, "url string, content binary, tries int")
+
+
+def manifests(spark: SparkSession, get: Callable[[str], tuple[int, bytes]], base: str, years: list[int]) -> DataFrame:
+    """`(year, line)`: the lines of each year's manifest, `base`/year.csv; a year without one is an error."""
+    from pyspark.sql import functions as F
+
+    urls = spark.createDataFrame([(f"{base}/{y}.csv", y) for y in years], "url string, year int")
+    found = fetched(urls.repartition(max(1, len(years)), "url"), get).join(F.broadcast(urls), "url")
+    text = F.when(F.col("content").isNull(), F.raise_error(F.concat(F.lit("no manifest at "), F.col("url")))).otherwise(F.decode("content", "utf-8"))
+    return found.select("year", F.explode(F.split(F.rtrim(text), "\n")).alias("line")).where("line <> ''")

@@ -285,3 +285,47 @@ def verified(sent: DataFrame, remote: DataFrame) -> DataFrame:
     r = remote.select("key", F.col("size").alias("_size"), F.regexp_replace("etag", '"', "").alias("_etag"))
     problem = F.when(F.col("_size").isNull(), "missing").when(F.col("_size") != F.col("size"), "size").when(F.col("_etag") != F.col("etag"), "etag")
     return sent.join(r, "key", "left").select("key", problem.alias("problem")).where(F.col("problem").isNotNull())
+
+
+def write_objects(objects: DataFrame, root: str) -> DataFrame:
+    """Write each row's `content` (bytes) as the file `name` below `root`, from the executors, beside its place first
+    and then moved there; returns `(name, path, size)`. Lazy: the files are there once the result has been read."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.fs
+
+        for batch in batches:
+            fs, base = pa.fs.FileSystem.from_uri(root)
+            rows = []
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                path = f"{base.rstrip('/')}/{name}"
+                folder, last = path.rsplit("/", 1)
+                fs.create_dir(folder, recursive=True)
+                with fs.open_output_stream(f"{folder}/.{last}.part") as f:
+                    f.write(data)
+                fs.move(f"{folder}/.{last}.part", path)
+                rows.append((name, path, len(data)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["name", "path", "size"])
+
+    return objects.select("name", "content").mapInArrow(run, "name string, path string, size long")
+
+
+def replace_compact(rows: DataFrame, staged: str, target: str, by: str, geometry: str = "geometry") -> int:
+    """Write outlines on the grid (see geo.compact) to `staged`, read them back, and only if every row decodes to the
+    geometry it came from put them in `target`'s place; otherwise an error, and `target` is as it was. `rows` has
+    tile_key, `by` and the geometry. Returns the rows written."""
+    from parcelspark.functions import geo
+
+    spark = rows.sparkSession
+    packed = geo.compact(rows.select("tile_key", by, geometry), geometry)
+    write_compact(packed.drop(geometry), staged, by)
+    again = spark.read.schema(packed.drop(geometry).schema).parquet(staged)
+    columns = [by, "tile_key", "x0", "y0", "dx", "dy", "ring_n", "part_n"]
+    keyed = lambda d: d.groupBy(*columns).agg(F.count("*").alias("n"))
+    lost = keyed(packed).exceptAll(keyed(again)).unionByName(keyed(again).exceptAll(keyed(packed)))
+    if bad := lost.limit(1).collect():
+        raise ValueError(f"{bad[0]['tile_key']} does not read back")
+    n = again.count()
+    swap(spark, {staged: target})
+    return n

@@ -30,3 +30,14 @@ def work_left(units: DataFrame, done: DataFrame, claims: DataFrame, now: float,
     """Units of a queue that are not done and not claimed by someone whose heartbeat is recent."""
     live = claims.where(F.col("heartbeat") > now - patience).select("unit")
     return units.join(done.select("unit"), "unit", "left_anti").join(live, "unit", "left_anti")
+
+
+def taken_over(claims: DataFrame, worker: str, now: float, patience: float = 900.0, most: int = 1) -> DataFrame:
+    """`claims` (unit, worker, heartbeat, tries) after `worker` has taken at most `most` units: those that nobody has
+    claimed (null heartbeat) or whose heartbeat is older than `patience`, fewest tries first. A unit may thus run
+    twice; its output must replace itself."""
+    free = F.col("heartbeat").isNull() | (F.col("heartbeat") <= now - patience)
+    taken = claims.where(free).orderBy("tries", "unit").limit(most).select("unit", F.lit(True).alias("_mine"))
+    joined = claims.join(F.broadcast(taken), "unit", "left")
+    mine = F.coalesce(F.col("_mine"), F.lit(False))
+    return joined.select("unit", F.when(mine, F.lit(worker)).otherwise(F.col("worker")).alias("worker"), F.when(mine, F.lit(now)).otherwise(F.col("heartbeat")).alias("heartbeat"), (F.col("tries") + mine.cast("int")).alias("tries"))

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelspark.functions import arrays, hashes
-from parcelspark.operators import incremental, rasters
+from parcelspark.operators import aggregates, graph, incremental, rasters
+from parcelspark.plans import outlines
 from parcelspark.sources import paging, readers, sinks
 
 
@@ -36,6 +37,15 @@ def test_partitions_are_cleared_and_swapped(spark, tmp_path):
     (tmp_path / "half").mkdir()
     with pytest.raises(ValueError):
         sinks.swap(spark, {f"file://{tmp_path}/new": f"file://{tmp_path}/t", f"file://{tmp_path}/half": f"file://{tmp_path}/u"})
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 3  # nothing was touched
+    sinks.swap(spark, {f"file://{tmp_path}/new": f"file://{tmp_path}/t"})
+    assert not (tmp_path / "t.replaced").exists()
+    # a crash after the old was moved aside and before the new was moved in
+    spark.range(5).write.parquet(f"{tmp_path}/newer")
+    (tmp_path / "t").rename(tmp_path / "t.replaced")
+    sinks.swap(spark, {f"file://{tmp_path}/newer": f"file://{tmp_path}/t"})
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 5 and not (tmp_path / "t.replaced").exists()
+    spark.range(2).write.parquet(f"{tmp_path}/new")
     sinks.swap(spark, {f"file://{tmp_path}/new": f"file://{tmp_path}/t"})
     assert spark.read.parquet(f"file://{tmp_path}/t/*.parquet").count() == 2
 
@@ -117,3 +127,73 @@ def test_resampling():
     assert arrays.sampled(x, np.array([1.0, 1.5, 9.0]), np.array([2.0, 2.5, 0.0]), "bilinear")[:2].tolist() == [8.0, 11.5]
     assert np.isnan(arrays.sampled(x, np.array([9.0]), np.array([0.0]))[0]) and arrays.sampled(x, np.array([1.4]), np.array([2.6]))[0] == 9
     assert arrays.block_mode(np.array([[1, 2, 5, 5], [2, 3, 4, 4]]), 2).tolist() == [[2, 4]]
+
+
+def test_uploads_that_never_land_say_so(spark):
+    def send(key, data, number):
+        if key == "b" or (key == "c" and number == 2):
+            raise OSError("down")
+        return hashlib.md5(data if key != "d" else b"else").hexdigest()
+
+    rows = spark.createDataFrame([(k, bytearray(b"x" * 25)) for k in "abcd"], "key string, content binary")
+    out = {r.key: (r.tries, r.landed, "-" in r.etag) for r in sinks.uploaded(rows, send, part=10, attempts=3).collect()}
+    assert out == {"a": (3, True, True), "b": (9, False, True), "c": (5, False, True), "d": (9, False, True)}
+
+
+def test_compact_files_replace_only_what_they_decode_to(spark, tmp_path):
+    from parcelspark.functions import utm, wkb
+
+    def outline(x):
+        lon, lat = utm.inverse(np.array([x, x + 10, x + 10, x, x]), np.array([5e6, 5e6, 5e6 + 5, 5e6 + 5, 5e6]), 31)
+        return bytearray(wkb.write([[np.column_stack([lon, lat])]]))
+
+    rows = lambda *xs: spark.createDataFrame([("31TAA_0_0", "31", outline(x)) for x in xs], "tile_key string, zone string, geometry binary")
+    at, target = f"file://{tmp_path}/staged", f"file://{tmp_path}/zones"
+    assert sinks.replace_compact(rows(400_000, 400_100), at, target, "zone") == 2 and spark.read.parquet(target).count() == 2
+    with pytest.raises(Exception, match="off the grid"):
+        sinks.replace_compact(rows(400_001), at, target, "zone")
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_manifests_of_every_year_or_none(spark):
+    get = lambda url: (404, b"") if url.endswith("2019.csv") else (200, b"a,1\nb,2\n")
+    assert paging.manifests(spark, get, "https://example.org", [2018]).count() == 2
+    with pytest.raises(Exception, match="no manifest"):
+        paging.manifests(spark, get, "https://example.org", [2018, 2019]).collect()
+
+
+def test_blocks_beyond_their_halo_are_refused(spark):
+    row = ("t", 10, 10, 2, 4, 30, 30, "<i4", bytearray(3600))
+    df = spark.createDataFrame([row], "tile_key string, row int, col int, row0 int, col0 int, height int, width int, dtype string, labels binary")
+    assert outlines.outlines(df, 20, 8, []).count() == 0
+    with pytest.raises(Exception, match="core_and_halo"):
+        outlines.outlines(df, 20, 6, []).count()
+
+
+def test_images_with_holes_are_refused(spark):
+    points = spark.createDataFrame([(0.5, 0.5, 3.0)], "lon double, lat double, v double")
+    due = spark.createDataFrame([(8, 7), (9, 7)], "x int, y int")
+    assert rasters.world_mosaic(points, 4, "v", due.where("x = 8")).count() == 1
+    with pytest.raises(ValueError, match="9, 7"):
+        rasters.world_mosaic(points, 4, "v", due)
+
+
+def test_quantiles_without_one_task(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [("ab"[i % 2], rng.choice([None, rng.randint(0, 9), rng.random() * 1e6])) for i in range(3000)] + [("c", 5.0)]
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g string, v double")
+    for by in ((), ("g",)):
+        want = {(k, q): v for k in ("abc" if by else "") or [None] for q, v in zip((0.0, 0.25, 0.5, 1.0), df.where(F.lit(True) if k is None else F.col("g") == k).agg(F.percentile("v", F.array(*map(F.lit, (0.0, 0.25, 0.5, 1.0))))).first()[0])}
+        got = aggregates.exact_quantiles(df, "v", [0.0, 0.25, 0.5, 1.0], by, continuous=True).collect()
+        assert {(r["g"] if by else None, r.share): r.value for r in got} == pytest.approx(want)
+    assert aggregates.exact_quantiles(df.limit(0), "v", [0.5]).collect() == [] or aggregates.exact_quantiles(df.limit(0), "v", [0.5]).first().value is None
+
+
+def test_components_of_named_nodes(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("z", "z"), (None, "q")], "s string, t string")
+    found = {}
+    for r in graph.named_components(edges, "s", "t").collect():
+        found.setdefault(r.component, set()).add(r.node)
+    assert sorted(map(sorted, found.values())) == [["a", "b", "c"], ["x", "y"]]

@@ -79,8 +79,12 @@ def test_key_functions(spark):
 
 
 def test_documents_and_uploads(spark):
-    doc = spark.createDataFrame([('{"id":"a","license":"old"}',)], "d string").select(sinks.patched(F.col("d"), {"license": "new"}).alias("d"))
-    assert doc.first().d == '{"id":"a","license":"new"}' and doc.select(sinks.patched(F.col("d"), {"license": "new"})).first()[0] == doc.first().d
+    text = '{"n":5,"id":"a","links":[{"rel":"self","x":1.5}],"meta":{"b":null},"é":true}'
+    doc = sinks.patched(spark.createDataFrame([(1, text), (2, None)], "k int, d string"), "d", {"license": "new", "meta.c": [1], "more.deep.er": {"z": 0}, "n": 6}, {"license": "id"}).orderBy("k").collect()
+    assert doc[0].d == '{"n":6,"id":"a","license":"new","links":[{"rel":"self","x":1.5}],"meta":{"b":null,"c":[1]},"é":true,"more":{"deep":{"er":{"z":0}}}}' and doc[0].drifted
+    assert doc[1].d is None and not doc[1].drifted and sinks.patched_document(doc[0].d, {"n": 6, "meta.c": [1]}) is doc[0].d
+    table = "# t\n| zone | n |\n|---|---|\n| 31 | 5 |\n| a \\| b | 1 |\n"
+    assert sinks.patched_table(table, {"31": "7", "zone": "n"}) == table.replace("| 5 |", "| 7 |") and sinks.patched_table(table, {"32": "1"}) == table
     local = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z")], "key string, size int, md5 string")
     remote = spark.createDataFrame([("a", 1, '"x"'), ("b", 2, '"q-3"'), ("d", 9, "w")], "key string, size int, etag string")
     assert [r.key for r in sinks.changed_objects(local, remote).collect()] == ["c"]
