@@ -58,6 +58,16 @@ class Flat:
             out[m] = np.column_stack(forward(self.points[m, 0], self.points[m, 1], z))
         return out
 
+    def shapes(self, points: np.ndarray) -> list[wkb.Polygons]:
+        """The polygons again, with other coordinates."""
+        out: list[wkb.Polygons] = [[] for _ in range(self.n)]
+        for ring, shell, row in zip(np.split(points, self.starts[1:-1]), self.shell.tolist(), self.row.tolist(), strict=True) if len(self.row) else ():
+            if shell:
+                out[row].append([ring])
+            else:
+                out[row][-1].append(ring)
+        return out
+
     def by_row(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights=values, minlength=self.n)
 
@@ -114,36 +124,53 @@ def measure(df: DataFrame, geometry: str = "geometry", tile_key: str | None = "t
     return df.mapInArrow(run, schema)
 
 
+def _zones(batch: pa.RecordBatch, tile_key: str) -> np.ndarray:
+    return np.array([int(k[:2]) if k else 0 for k in batch.column(tile_key).to_pylist()], np.int64)
+
+
 def tidy(df: DataFrame, geometry: str = "geometry", tile_key: str = "tile_key", hole: float = HOLE_M2, part: float = PART_M2) -> DataFrame:
     """`geometry` without small holes, then without small parts, both measured in metres; what loses
-    every part becomes null."""
+    every part becomes null. Rings of a batch are measured at once; a geometry with nothing to lose is passed on as it is."""
     place = df.columns.index(geometry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, out = batch.column(tile_key).to_pylist(), []
-            for data, key in zip(batch.column(place).to_pylist(), keys, strict=True):
-                zone = int(key[:2])
-                metres = lambda r, z=zone: wkb.ring_area(projected([[r]], z)[0][0])
-                filled = wkb.fill_holes(wkb.parse(data), hole, metres)
-                out.append(wkb.write(wkb.drop_parts(filled, part, lambda p, z=zone: wkb.polygon_area(projected([p], z)[0]))))
+            data = batch.column(place).to_pylist()
+            shapes = [wkb.parse(x) for x in data]
+            flat = Flat(shapes)
+            size = np.abs(flat.rings(flat.projected(_zones(batch, tile_key)))[0])
+            gone = ~flat.shell & (size < hole)
+            polygon = np.cumsum(flat.shell) - 1  # the polygon of each ring
+            left = np.bincount(polygon, weights=np.where(flat.shell, size, np.where(gone, 0.0, -size))) if len(polygon) else np.zeros(0)
+            gone |= (left < part)[polygon] if len(polygon) else gone
+            for row in np.unique(flat.row[gone]).tolist():
+                low = np.searchsorted(flat.row, row)
+                rings = iter(gone[low:])
+                kept = [[r for r in p if not next(rings)] for p in shapes[row]]
+                data[row] = wkb.write([p for p in kept if p])
             columns = [*batch.columns]
-            columns[place] = pa.array(out, pa.binary())
+            columns[place] = pa.array(data, pa.binary())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return df.mapInArrow(run, df.schema)
 
 
 def overlaps(pairs: DataFrame, a: str, b: str, tile_key: str | None = None) -> DataFrame:
-    """Adds area_a, area_b and overlap of two geometry columns."""
+    """Adds area_a, area_b and overlap of two geometry columns, in metres of the tile's zone or (without one) as given."""
+    kept = [c for c in pairs.columns if c not in ("area_a", "area_b", "overlap")]
 
-    def row(r: dict):
-        p, q = wkb.parse(r[a]), wkb.parse(r[b])
-        if tile_key is not None:
-            p, q = projected(p, int(r[tile_key][:2])), projected(q, int(r[tile_key][:2]))
-        return wkb.area(p), wkb.area(q), overlay.intersection_area(p, q)
-
-    return _mapped(pairs, "area_a double, area_b double, overlap double", row)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides, areas = [], []
+            for column in (a, b):
+                flat = Flat([wkb.parse(x) for x in batch.column(column).to_pylist()])
+                points = flat.points if tile_key is None else flat.projected(_zones(batch, tile_key))
+                areas.append(flat.by_row(np.where(flat.shell, 1.0, -1.0) * np.abs(flat.rings(points)[0])))
+                sides.append(flat.shapes(points))
+            over = [overlay.intersection_area(p, q) for p, q in zip(*sides, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(x, pa.float64()) for x in (*areas, over))], [*kept, "area_a", "area_b", "overlap"])
+
+    return pairs.mapInArrow(run, pairs.select(*kept).selectExpr("*", "cast(0 as double) area_a", "cast(0 as double) area_b", "cast(0 as double) overlap").schema)
 
 
 def compact(df: DataFrame, geometry: str = "geometry", tile_key: str = "tile_key") -> DataFrame:

@@ -172,7 +172,7 @@ def probed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.split("url", "-")[0].cast("long").alias("p_partkey"), "size")
 
 
-@query("SELECT r_regionkey AS part, 'f-' || r_regionkey || '-' || i AS id FROM region, range(57) t(i)")
+@query("SELECT cast(r_regionkey as bigint) AS part, 'f-' || r_regionkey || '-' || i AS id FROM region, range(57) t(i)")
 def paged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of a search for each region, in pages of ten whose next request is merged into the last."""
 

@@ -24,6 +24,8 @@ from parcelspark.sources.sinks import curve_key
 MAX_M2, MIN_M2, OVERLAP_SHARE, OVERLAP_M2, LAND_SHARE, CLAIM_STEP = 5e6, 900.0, 0.1, 100.0, 0.5, 200.0
 #: Degrees of a cell of the seam join: some times a parcel.
 SEAM_CELL = 0.02
+#: Parcels of a coastal cell that one task measures, about.
+CROWD = 4096
 
 
 def _boxed(df: DataFrame) -> DataFrame:
@@ -48,25 +50,30 @@ def _with_shapes(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return pairs.join(shape("a"), "a").join(shape("b"), "b")
 
 
-def _dissolved(table: pa.Table) -> pa.Table:
-    order = np.argsort(table["id"].to_numpy(zero_copy_only=False))
-    rows = table.take(pa.array(order)).to_pylist()
-    whole = overlay.union([wkb.parse(r["geometry"]) for r in rows])
-    areas = np.array([wkb.area(utm.projected(wkb.parse(r["geometry"]), int(rows[0]["tile_key"][:2]))) for r in rows])
-    share = np.array([np.nan if r["pf_mean"] is None else r["pf_mean"] for r in rows])
-    mean = float((share * areas).sum() / areas.sum()) if areas.sum() > 0 else float(np.nanmean(share))
-    keep = min((r["id"] for r in rows if r["claimed"]), default=rows[0]["id"])
-    return pa.table({"id": [keep], "tile_key": [next(r["tile_key"] for r in rows if r["id"] == keep)], "pf_mean": pa.array([mean]), "geometry": pa.array([wkb.write(whole)], pa.binary())})
+def _dissolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each list of pieces."""
+    for batch in batches:
+        out = []
+        for rows in batch.column(0).to_pylist():
+            rows.sort(key=lambda r: r["id"])
+            shapes = [wkb.parse(r["geometry"]) for r in rows]
+            areas = np.array([wkb.area(utm.projected(x, int(rows[0]["tile_key"][:2]))) for x in shapes])
+            share = np.array([np.nan if r["pf_mean"] is None else r["pf_mean"] for r in rows])
+            mean = float((share * areas).sum() / areas.sum()) if areas.sum() > 0 else float(np.nanmean(share))
+            keep = min((r["id"] for r in rows if r["claimed"]), default=rows[0]["id"])
+            out.append((keep, next(r["tile_key"] for r in rows if r["id"] == keep), mean, wkb.write(overlay.union(shapes))))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.float64(), pa.binary()))], ["id", "tile_key", "pf_mean", "geometry"])
 
 
 def dissolve(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rows with the pieces that pairs connect made one: least id (of the claimed ones, if any), area-weighted
-    mean, union of geometries. A parcel has few pieces, so a group fits a task; single rows never leave
+    mean, union of geometries. A parcel has few pieces, so a group fits a row; single rows never leave
     the JVM."""
     rows = rows if "claimed" in rows.columns else rows.withColumn("claimed", F.lit(False))
     groups = materialise(named_components(pairs, "a", "b").toDF("id", "gid"), "release-groups")
     out = rows.select("id", "tile_key", "pf_mean", "geometry", "claimed")
-    merged = out.join(groups, "id").groupBy("gid").applyInArrow(_dissolved, "id string, tile_key string, pf_mean double, geometry binary")
+    pieces = out.join(groups, "id").groupBy("gid").agg(F.collect_list(F.struct(*out.columns)).alias("pieces")).select("pieces")
+    merged = pieces.mapInArrow(_dissolved, "id string, tile_key string, pf_mean double, geometry binary")
     return out.join(groups, "id", "left_anti").drop("claimed").unionByName(merged)
 
 
@@ -210,7 +217,11 @@ def land_shares(rows: DataFrame, land: DataFrame, degree: float = 1.0) -> DataFr
     boxes = joins.with_cells(_boxed(rows.select("id", "xmin", "ymin", "xmax", "ymax")), degree).select("id", "cx", "cy")
     inland = boxes.join(whole, ["cx", "cy"], "left").groupBy("id").agg(F.bool_and(F.coalesce("_full", F.lit(False))).alias("inland")).where("inland").select("id")
     rest = joins.with_cells(_boxed(rows.select("id", "geometry", "xmin", "ymin", "xmax", "ymax")), degree).select("id", "cx", "cy", "geometry").join(inland, "id", "left_anti")
-    rest = rest.join(pieces.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi")
+    rest = materialise(rest.join(pieces.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi"), "land-rest")
+    # a crowded cell is dealt to several tasks, each with the cell's pieces
+    crowds = materialise(rest.groupBy("cx", "cy").agg(F.ceil(F.count("*") / F.lit(CROWD)).cast("int").alias("t")), "land-crowds")
+    rest = rest.join(crowds, ["cx", "cy"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("t")).cast("int"))
+    around_ = pieces.join(crowds, ["cx", "cy"]).select("cx", "cy", "geometry", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("part"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def covered(parcels_: pa.Table, around: pa.Table) -> pa.Table:
@@ -226,7 +237,7 @@ def land_shares(rows: DataFrame, land: DataFrame, degree: float = 1.0) -> DataFr
             out.append(overlay.covered_area(here, flat) / own if own > 0 and flat else 0.0)
         return pa.table([parcels_["id"], pa.array(out, pa.float64())], names=["id", "part"])
 
-    parts = rest.groupBy("cx", "cy").cogroup(pieces.select("cx", "cy", "geometry").groupBy("cx", "cy")).applyInArrow(covered, f"id {kind}, part double")
+    parts = rest.groupBy("cx", "cy", "part").cogroup(around_.groupBy("cx", "cy", "part")).applyInArrow(covered, f"id {kind}, part double")
     shares = parts.groupBy("id").agg(F.least(F.lit(1.0), F.sum("part")).alias("land_share")).unionByName(inland.withColumn("land_share", F.lit(1.0)))
     return rows.join(shares, "id", "left").withColumn("land_share", F.coalesce("land_share", F.lit(0.0)))
 

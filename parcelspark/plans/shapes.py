@@ -267,7 +267,7 @@ def area_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outlines.drift(rows, changed, "id", "area").select("id", "before", F.round("after").cast("long").alias("after"))
 
 
-@query("SELECT id, k, CASE WHEN k = 0 THEN 0 WHEN k = 8 THEN 8 ELSE k END AS eighths FROM (SELECT o_orderkey AS id, o_orderkey % 9 AS k FROM orders)")
+@query("SELECT id, k, cast(k as int) AS eighths FROM (SELECT o_orderkey AS id, o_orderkey % 9 AS k FROM orders)")
 def land_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels k eighths of which lie on land, on three coasts: inside a cell, on a cell's edge and in a cell that is all land."""
     o = F.col("o_orderkey")

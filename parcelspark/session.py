@@ -20,6 +20,8 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, **conf: s
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
+        # geometry kernels take long over few bytes: small partitions are not merged into one task
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
         "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
         "spark.ui.enabled": "false",
