@@ -258,11 +258,11 @@ def simplified_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("at = 0").select("p_partkey", F.col("n_coordinates").alias("coordinates"), F.round("area_m2", 6).alias("area"))
 
 
-@query(f"SELECT p.id, p.area AS before, cast(p.area * CASE WHEN p.id % 4 = 0 THEN 2 WHEN p.id % 4 = 1 THEN 1.2e0 ELSE 0.5e0 END as bigint) AS after FROM {SQL} p WHERE p.id % 4 <> 1")
+@query(f"SELECT p.id, p.area AS before, cast(p.area * CASE WHEN p.id % 4 = 0 THEN 2 WHEN p.id % 4 = 1 THEN 1.2e0 ELSE 3 END as bigint) AS after FROM {SQL} p WHERE p.id % 4 <> 1")
 def area_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose area changed by more than a quarter."""
     rows = parcels(spark, sf_dir).select("id", "area")
-    factor = F.when(F.col("id") % 4 == 0, 2).when(F.col("id") % 4 == 1, F.lit(1.2)).otherwise(0.5)
+    factor = F.when(F.col("id") % 4 == 0, 2).when(F.col("id") % 4 == 1, F.lit(1.2)).otherwise(3)
     changed = rows.select("id", (F.col("area") * factor).alias("area"))
     return outlines.drift(rows, changed, "id", "area").select("id", "before", F.round("after").cast("long").alias("after"))
 
