@@ -22,8 +22,9 @@ from parcelspark.session import materialise
 
 #: Text of a block, and keys that one task compares, about, while a block has at least CELL keys for a part.
 BLOCK_BYTES, KEYS_EACH, CELL = 4 << 20, 2_000_000, 512
-#: What a block and a part may grow to, as multiples of these.
-BLOCK_GROWTH, PART_GROWTH = 16, 8
+#: What a block and a part may grow to, as multiples of these: 256 MB of text and 128 million keys, at 50 TB or more
+#: of text. A task then takes some 6 GB.
+BLOCK_GROWTH, PART_GROWTH = 64, 64
 
 
 def plan_sizes(text_bytes: float, block_bytes: int = BLOCK_BYTES, keys_a_word: float = 1.0) -> tuple[int, int]:

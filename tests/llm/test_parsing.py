@@ -28,9 +28,9 @@ def test_sizes_grow_with_the_corpus():
     last = 0
     for size in (1e9, 3e10, 1e12, 1e14):
         block, parts = chunks.plan_sizes(size)
-        assert last <= block <= 64 << 20 and parts & (parts - 1) == 0
+        assert last <= block <= 256 << 20 and parts & (parts - 1) == 0
         # what a block sends to a part
-        assert block / 6 / parts > (250 if size <= 1e12 else 5)
+        assert block / 6 / parts > 150
         last = block
 
 
