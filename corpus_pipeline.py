@@ -35,10 +35,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     several = own.groupBy("component").agg(F.min("of").alias("least"), F.max("of").alias("most")).where("least < most")
     others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id", *text)
     others = others.unionByName(own.join(several, "component").where("of > least").select("doc_id", *text)).distinct()
-    a, b = simhash.text_hashes("d.text")
-    same = (F.col("d.doc_id").cast("long") == F.col("o.doc_id")) & (a == F.col("o.text_hash")) & (b == F.col("o.text_hash2"))
-    kept = docs.alias("d").join(others.alias("o"), same, "left_anti")
-    return kept.withColumn("_named", F.struct(F.col("doc_id").cast("long"), *simhash.text_hashes())).dropDuplicates(["_named"]).select(*docs.columns)
+    # the join and the distinct rows share their keys, and so one shuffle of the texts
+    keys = ["doc_id", *text]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *(h.alias(c) for h, c in zip(simhash.text_hashes(), text, strict=True)))
+    kept = rows.join(others, keys, "left_anti").dropDuplicates(keys)
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
