@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelspark.operators.aggregates import exact_quantiles
+
 
 def zonal_means(pixels: DataFrame, layers: list[str], *by: str, more: Sequence[Column] = ()) -> DataFrame:
     """Count and mean of each layer for each label, and `more` of the same pass; NaN makes a mean NaN, and null is left out."""
@@ -54,10 +56,7 @@ def mosaic(pixels: DataFrame, how: str, *by: str) -> DataFrame:
 
 def histogram_percentiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
     """`(share, value)` from the histogram (one row a value), by running counts."""
-    hist = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("n"))
-    run = hist.withColumn("upto", F.sum("n").over(Window.orderBy("value"))).withColumn("all", F.sum("n").over(Window.partitionBy()))
-    each = run.agg(*(F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("value"))).alias(str(i)) for i, q in enumerate(shares)))
-    return each.select(F.explode(F.array(*(F.struct(F.lit(q).alias("share"), F.col(str(i)).alias("value")) for i, q in enumerate(shares)))).alias("r")).select("r.*")
+    return exact_quantiles(df, value, shares)
 
 
 def sample_layer(pixels: DataFrame, layer: DataFrame, factor: int, value: str, by: list[str]) -> DataFrame:
