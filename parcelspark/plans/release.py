@@ -24,6 +24,8 @@ from parcelspark.sources.sinks import curve_key
 MAX_M2, MIN_M2, OVERLAP_SHARE, OVERLAP_M2, LAND_SHARE, CLAIM_STEP = 5e6, 900.0, 0.1, 100.0, 0.5, 200.0
 #: Degrees of a cell of the seam join: some times a parcel.
 SEAM_CELL = 0.02
+#: Square metres of a square degree, at most.
+M2_DEGREE = 112_000.0**2
 #: Parcels of a coastal cell that one task measures, about.
 CROWD = 4096
 
@@ -38,7 +40,10 @@ def seam_pairs(rows: DataFrame, cell: float = SEAM_CELL) -> DataFrame:
     for them alone."""
     d = _boxed(rows.select("id", "tile_key", "touches_window_edge", "xmin", "ymin", "xmax", "ymax"))
     cut = (F.col("a.tile_key") != F.col("b.tile_key")) | (F.coalesce(F.col("a.touches_window_edge"), F.lit(False)) & F.coalesce(F.col("b.touches_window_edge"), F.lit(False)))
-    pairs = joins.self_pairs(d, cell, on=cut).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.tile_key").alias("tile_key"), (F.col("a.tile_key") == F.col("b.tile_key")).alias("same"))
+    # what overlaps by too little even with its bounds needs no shape: no square degree has more than M2_DEGREE
+    near = joins.overlap_area("a", "b") * F.lit(M2_DEGREE)
+    on = cut & (near > 0) & ((F.col("a.tile_key") == F.col("b.tile_key")) | (near >= OVERLAP_M2))
+    pairs = joins.self_pairs(d, cell, on=on).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), F.col("a.tile_key").alias("tile_key"), (F.col("a.tile_key") == F.col("b.tile_key")).alias("same"))
     measured = geo.overlaps(_with_shapes(pairs, rows), "ga", "gb", "tile_key")
     over = F.col("overlap")
     return measured.where((over > 0) & (over >= OVERLAP_SHARE * F.least("area_a", "area_b")) & (F.col("same") | (over >= OVERLAP_M2))).select("a", "b")
@@ -282,7 +287,7 @@ def release_geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parcels(spark, sf_dir)
     degrees = {n: (F.col(c) * 0.0004 + k).alias(n) for n, c, k in (("xmin", "x0", 1.0), ("ymin", "y0", 45.0), ("xmax", "x1", 1.0), ("ymax", "y1", 45.0))}
     boxes = rows.select(F.concat(F.lit("31"), F.substring("tile_key", 3, 20)).alias("tile_key"), F.col("id").alias("parcel_id"), (F.col("score") / 100).alias("pf_mean"), F.lit(False).alias("touches_window_edge"), *degrees.values())
-    out = convert(box_geometry(boxes), "parcels", 2025, (0.0, 44.0, 4.0, 48.0), max_m2=1e8)
+    out = convert(materialise(box_geometry(boxes), "release-tiles"), "parcels", 2025, (0.0, 44.0, 4.0, 48.0), max_m2=1e8)
     return out.select("id", "score", F.round("metrics:area", 0).alias("area_m2"), "hk")
 
 

@@ -13,6 +13,7 @@ from parcelspark.functions import codec, geo, overlay, utm, wkb
 from parcelspark.plans import outlines, release, validation
 from parcelspark.plans.base import query
 from parcelspark.plans.view import SQL, parcels, table
+from parcelspark.session import materialise
 
 ZONE = 31
 #: Transverse Mercator in SQL, as functions.utm: series in the third flattening.
@@ -274,7 +275,7 @@ def land_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(o.alias("id"), (o % 9).alias("k"), (45.2 + (F.col("o_custkey") % 500) * F.lit(0.001)).alias("y"))
     # land lies between 1.5 and 4.5 degrees east; a parcel is 0.008 degrees wide
     x = F.lit(1.5) - (8 - F.col("k")) * F.lit(0.001)
-    boxes = release.box_geometry(rows.select("id", "k", x.alias("xmin"), F.col("y").alias("ymin"), (x + 0.008).alias("xmax"), (F.col("y") + 0.008).alias("ymax")))
+    boxes = materialise(release.box_geometry(rows.select("id", "k", x.alias("xmin"), F.col("y").alias("ymin"), (x + 0.008).alias("xmax"), (F.col("y") + 0.008).alias("ymax"))), "land-parcels")
     land = release.box_geometry(spark.createDataFrame([(1.5, 44.5, 3.0, 47.5), (3.0, 44.5, 4.5, 47.5)], "xmin double, ymin double, xmax double, ymax double"))
     return release.land_shares(boxes, land).select("id", "k", F.round(F.col("land_share") * 8).cast("int").alias("eighths"))
 
@@ -284,7 +285,7 @@ def sea_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels of which more than half lies on land (those at the limit are left out)."""
     o = F.col("o_orderkey")
     rows = table(spark, sf_dir, "orders").where("o_orderkey % 9 <> 4").select(o.alias("id"), (F.lit(1.5) - (8 - o % 9) * F.lit(0.001)).alias("xmin"), (45.2 + (F.col("o_custkey") % 500) * F.lit(0.001)).alias("ymin"))
-    boxes = release.box_geometry(rows.withColumns({"xmax": F.col("xmin") + 0.008, "ymax": F.col("ymin") + 0.008}))
+    boxes = materialise(release.box_geometry(rows.withColumns({"xmax": F.col("xmin") + 0.008, "ymax": F.col("ymin") + 0.008})), "land-parcels")
     land = release.box_geometry(spark.createDataFrame([(1.5, 44.5, 4.5, 47.5)], "xmin double, ymin double, xmax double, ymax double"))
     return release.on_land(boxes, land).select("id")
 
@@ -346,5 +347,5 @@ def release_seams(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p.tile_key", F.col("id").alias("parcel_id"), ((F.col("id") % 101) / 100).alias("pf_mean"), F.lit(False).alias("touches_window_edge"),
         (F.col("lon") + F.col("p.a")).alias("xmin"), F.col("lat").alias("ymin"), (F.col("lon") + F.col("p.b")).alias("xmax"), (F.col("lat") + 0.003).alias("ymax"),
     )
-    out = release.convert(release.box_geometry(pieces), "parcels", 2025, (0.0, 44.0, 6.0, 50.0))
+    out = release.convert(materialise(release.box_geometry(pieces), "release-tiles"), "parcels", 2025, (0.0, 44.0, 6.0, 50.0))
     return out.select("id", "score", F.floor(F.col("metrics:area").cast("double") / 100 + 0.5).cast("long").alias("area_100"))
