@@ -107,3 +107,26 @@ def count_gate(counted: DataFrame, published: DataFrame, key: str, tolerance: fl
     apart = F.abs(F.col("counted") - F.col("published")) > F.lit(tolerance) * F.col("counted")
     problem = F.when(F.col("published").isNull(), "unpublished").when(F.col("counted").isNull(), "uncounted").when(apart, "differs")
     return both.withColumn("problem", problem).where(F.col("problem").isNotNull())
+
+
+def trusted(objects: DataFrame, *sources: DataFrame, key: str = "key", value: str = "digest") -> DataFrame:
+    """`objects` (key, size) with the value of the first source (key, size, value) that speaks of an object of this size;
+    null where none does, for a value of another size is of another object."""
+    out, found = objects, []
+    for i, source in enumerate(sources):
+        named = source.select(key, F.col("size").alias(f"_size{i}"), F.col(value).alias(f"_value{i}"))
+        out = out.join(named, key, "left")
+        found.append(F.when(F.col("size") == F.col(f"_size{i}"), F.col(f"_value{i}")))
+    return out.select(*objects.columns, F.coalesce(*found).alias(value))
+
+
+def index_problems(new: DataFrame, old: DataFrame, expected: DataFrame, zone: str = "zone", year: str = "year") -> DataFrame:
+    """`(problem, zone, year)` that forbid publishing an index (rows of zone and year): an expected zone that a year lacks,
+    a year that is gone, a partition with fewer rows than before."""
+    count = lambda d, n: d.groupBy(zone, year).agg(F.count("*").alias(n))
+    a, b = count(new, "_new"), count(old, "_old")
+    years = new.select(year).distinct()
+    lacks = years.crossJoin(F.broadcast(expected.select(zone).distinct())).join(a, [zone, year], "left_anti").select(F.lit("zone missing").alias("problem"), zone, year)
+    gone = old.select(year).distinct().join(years, year, "left_anti").select(F.lit("year gone").alias("problem"), F.lit(None).cast("string").alias(zone), year)
+    shrunk = a.join(b, [zone, year]).where("_new < _old").select(F.lit("shrunk").alias("problem"), zone, year)
+    return lacks.unionByName(gone).unionByName(shrunk)

@@ -38,3 +38,8 @@ def all_positive(value: Column) -> Column:
 
 def hash_shard(name: Column, shards: int) -> Column:
     return F.pmod(F.crc32(name.cast("string").cast("binary")), F.lit(shards)).cast("int")
+
+
+def near_line(lon: Column, lat: Column, line: float, width: float, south: float, north: float) -> Column:
+    """Within `width` degrees of a meridian, between two latitudes."""
+    return (F.abs(lon - line) <= width) & lat.between(south, north)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelspark.plans import blocks, catalog, cells, files, merging, rasters, release, seams, shapes  # noqa: F401  (each registers its queries)
+from parcelspark.plans import blocks, catalog, cells, files, guards, merging, rasters, release, seams, shapes  # noqa: F401  (each registers its queries)
 from parcelspark.plans.base import ORACLES, QUERIES
 
 

@@ -157,27 +157,34 @@ def claimed_points(points: DataFrame, squares: DataFrame) -> DataFrame:
     return out.withColumn("claimer", claimer).select(*points.columns, "claimer")
 
 
-def claims(parcels_: DataFrame, squares: DataFrame) -> DataFrame:
-    """`(id, in_utm_zone, claimed)`: a parcel belongs to its tile's zone by its centroid, or is claimed if any
-    point along its centroid's row (every CLAIM_STEP metres) would otherwise be nobody's and this zone's
-    tile keeps it. Needs id, tile_key, in_mgrs_square, lon, lat (centroid) and west, east (metres)."""
-    number = F.substring("tile_key", 1, 2).cast("int")
-    home = utm_zone(F.col("lon"), F.col("lat")) == number
-    rows = parcels_.select("id", "lon", "lat", "tile_key", F.col("in_mgrs_square"), home.alias("_home"), number.alias("_number"), "west", "east")
+def row_points(rows: DataFrame, step: float = CLAIM_STEP) -> DataFrame:
+    """`(id, _number, lon, lat)`: the centroid (lon, lat) of each row, and points every `step` metres along its row of the
+    zone `_number`'s grid from `west` to `east`, both ends included."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                xs = np.unique(np.append(np.arange(r["west"], r["east"], CLAIM_STEP), r["east"]))
+                xs = np.unique(np.append(np.arange(r["west"], r["east"], step), r["east"]))
                 south = r["lat"] < 0
                 _, north = utm.forward(np.array([r["lon"]]), np.array([r["lat"]]), r["_number"], south)
                 lon, lat = utm.inverse(xs, np.full(len(xs), north[0]), r["_number"], south)
                 out += [(r["id"], r["_number"], float(a), float(b)) for a, b in [(r["lon"], r["lat"]), *zip(lon, lat, strict=True)]]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int32(), pa.float64(), pa.float64()))], ["id", "_number", "lon", "lat"])
 
+    return rows.mapInArrow(spread, "id string, _number int, lon double, lat double")
+
+
+def claims(parcels_: DataFrame, squares: DataFrame) -> DataFrame:
+    """`(id, in_utm_zone, claimed)`: a parcel belongs to its tile's zone by its centroid, or is claimed if any
+    point along its centroid's row (every CLAIM_STEP metres) would otherwise be nobody's and this zone's
+    tile keeps it. Needs id, tile_key, in_mgrs_square, lon, lat (centroid) and west, east (metres)."""
+    number = F.substring("tile_key", 1, 2).cast("int")
+    home = utm_zone(F.col("lon"), F.col("lat")) == number
+    rows = parcels_.select("id", "lon", "lat", "tile_key", F.col("in_mgrs_square"), home.alias("_home"), number.alias("_number"), "west", "east")
+
     edge = rows.where(~F.col("_home") & F.col("in_mgrs_square")).select(F.col("id").cast("string").alias("id"), "_number", "lon", "lat", "west", "east")
-    points = claimed_points(edge.mapInArrow(spread, "id string, _number int, lon double, lat double"), squares)
+    points = claimed_points(row_points(edge), squares)
     won = points.where(F.col("claimer") == F.col("_number")).select("id")
     flagged = joins.flag_members(rows.select(F.col("id").cast("string").alias("id"), "_home"), won, "id", "claimed")
     return flagged.select("id", (F.col("_home") | F.col("claimed")).alias("in_utm_zone"), "claimed")
