@@ -75,11 +75,14 @@ def tile_counts_by_place(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT '33UYQ_0_0-' || s_suppkey AS id, 50 AS percent FROM supplier")
 def cross_zone_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parcels on the border of two zones, claimed by the western one, with the half that the eastern one kept: one
-    each, under the claimed id, with the mean weighted by area (30 % twice, 90 % once)."""
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", (40 + (F.col("s_suppkey") % 2000) * F.lit(0.01)).alias("lat"))
+    each, under the claimed id, with the mean weighted by area (30 % twice, 90 % once). Each has a place of its own:
+    20,000 along the border, then further columns to the east."""
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", (F.pmod(k, F.lit(20_000)) * F.lit(0.004)).alias("lat"), (F.floor(k / 20_000) * F.lit(0.012)).alias("column"))
     piece = lambda tile, west, east, mean, claimed: F.struct(F.lit(tile).alias("tile_key"), F.lit(west).alias("xmin"), F.lit(east).alias("xmax"), F.lit(mean).alias("pf_mean"), F.lit(claimed).alias("claimed"))
-    rows = s.select("s_suppkey", "lat", F.explode(F.array(piece("33UYQ_0_0", 18.01, 18.02, 0.3, True), piece("34UCV_0_0", 18.013, 18.018, 0.9, False))).alias("p")).select(
-        F.concat_ws("-", "p.tile_key", F.col("s_suppkey").cast("string")).alias("id"), "p.*", F.col("lat").alias("ymin"), (F.col("lat") + 0.003).alias("ymax")
+    rows = s.select("s_suppkey", "lat", "column", F.explode(F.array(piece("33UYQ_0_0", 18.01, 18.02, 0.3, True), piece("34UCV_0_0", 18.013, 18.018, 0.9, False))).alias("p")).select(
+        F.concat_ws("-", "p.tile_key", k.cast("string")).alias("id"), "p.tile_key", (F.col("p.xmin") + F.col("column")).alias("xmin"), (F.col("p.xmax") + F.col("column")).alias("xmax"), "p.pf_mean", "p.claimed",
+        F.col("lat").alias("ymin"), (F.col("lat") + 0.003).alias("ymax"),
     )
     out = release.cross_zone(materialise(release.box_geometry(rows), "border"))
     return out.select("id", F.round(F.col("pf_mean") * 100).cast("int").alias("percent"))
