@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,25 @@ class Flat:
         self.row = np.array([w for _, _, w in rings], np.int64)
         self.n = len(shapes)
 
+    @classmethod
+    def read(cls, column: pa.Array) -> Flat:
+        """Of a column of WKB: polygons of one ring are taken together, others are parsed."""
+        plain, points, n = wkb.plain_rings(column)
+        other = np.ones(len(column), bool)
+        other[plain] = False
+        rest = np.flatnonzero(other)
+        out = cls([wkb.parse(x) for x in column.take(pa.array(rest)).to_pylist()] if len(rest) else [])
+        sizes, row = np.concatenate([np.diff(out.starts), n]), np.concatenate([rest[out.row], plain])
+        order = np.argsort(row, kind="stable")
+        if len(out.row):
+            begin = (np.cumsum(sizes) - sizes)[order]
+            at = np.repeat(begin - (np.cumsum(sizes[order]) - sizes[order]), sizes[order]) + np.arange(sizes.sum())
+            points = np.concatenate([out.points, points])[at]
+        out.points, out.row, out.n = points, row[order], len(column)
+        out.shell = np.concatenate([out.shell, np.ones(len(plain), bool)])[order]
+        out.starts = np.concatenate([[0], np.cumsum(sizes[order])]).astype(np.int64)
+        return out
+
     def projected(self, zones: np.ndarray) -> np.ndarray:
         """Points in metres of each row's zone."""
         out, of = np.empty_like(self.points), np.repeat(zones[self.row], np.diff(self.starts))
@@ -99,9 +118,9 @@ def measure(df: DataFrame, geometry: str = "geometry", tile_key: str | None = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shapes = [wkb.parse(x) for x in batch.column(geometry).to_pylist()]
-            flat, none = Flat(shapes), pa.array([not p for p in shapes], pa.bool_())
-            metres = flat.points if tile_key is None else flat.projected(np.array([int(k[:2]) if k else 0 for k in batch.column(tile_key).to_pylist()]))
+            flat = Flat.read(batch.column(geometry))
+            none = np.bincount(flat.row, minlength=flat.n) == 0
+            metres = flat.points if tile_key is None else flat.projected(_zones(batch, tile_key))
             sign = np.where(flat.shell, 1.0, -1.0)
             area, _, _, length = flat.rings(metres)
             degrees, mx, my, _ = flat.rings(flat.points)
@@ -114,11 +133,13 @@ def measure(df: DataFrame, geometry: str = "geometry", tile_key: str | None = "t
             line = np.flatnonzero(np.abs(total) < 1e-300)  # no area: the mean of the vertices
             with np.errstate(divide="ignore", invalid="ignore"):
                 centre = [cx / total, cy / total]
-            for i in line.tolist():
-                centre[0][i], centre[1][i] = wkb.centroid(shapes[i]) or (np.nan, np.nan)
+            if len(line):
+                shapes = flat.shapes(flat.points)
+                for i in line.tolist():
+                    centre[0][i], centre[1][i] = wkb.centroid(shapes[i]) or (np.nan, np.nan)
             found = [flat.by_row(sign * np.abs(area)), flat.by_row(length), flat.by_row(flat.shell), flat.by_row(~flat.shell), flat.by_row(np.diff(flat.starts)), *box, *centre]
             types = [f.dataType.typeName() for f in schema.fields[len(kept) :]]
-            extra = [pa.array(v.astype(np.int32) if t == "integer" else v, mask=none.to_numpy(zero_copy_only=False)) for v, t in zip(found, types, strict=True)]
+            extra = [pa.array(v.astype(np.int32) if t == "integer" else v, mask=none) for v, t in zip(found, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *extra], [*kept, *names])
 
     return df.mapInArrow(run, schema)
@@ -135,21 +156,21 @@ def tidy(df: DataFrame, geometry: str = "geometry", tile_key: str = "tile_key",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = batch.column(place).to_pylist()
-            shapes = [wkb.parse(x) for x in data]
-            flat = Flat(shapes)
+            flat = Flat.read(batch.column(place))
             size = np.abs(flat.rings(flat.projected(_zones(batch, tile_key)))[0])
             gone = ~flat.shell & (size < hole)
             polygon = np.cumsum(flat.shell) - 1  # the polygon of each ring
             left = np.bincount(polygon, weights=np.where(flat.shell, size, np.where(gone, 0.0, -size))) if len(polygon) else np.zeros(0)
             gone |= (left < part)[polygon] if len(polygon) else gone
-            for row in np.unique(flat.row[gone]).tolist():
-                low = np.searchsorted(flat.row, row)
-                rings = iter(gone[low:])
-                kept = [[r for r in p if not next(rings)] for p in shapes[row]]
-                data[row] = wkb.write([p for p in kept if p])
             columns = [*batch.columns]
-            columns[place] = pa.array(data, pa.binary())
+            if gone.any():
+                data, shapes = batch.column(place).to_pylist(), flat.shapes(flat.points)
+                for row in np.unique(flat.row[gone]).tolist():
+                    low = np.searchsorted(flat.row, row)
+                    rings = iter(gone[low:])
+                    kept = [[r for r in p if not next(rings)] for p in shapes[row]]
+                    data[row] = wkb.write([p for p in kept if p])
+                columns[place] = pa.array(data, pa.binary())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     return df.mapInArrow(run, df.schema)
@@ -163,16 +184,33 @@ def overlaps(pairs: DataFrame, a: str, b: str, tile_key: str | None = None) -> D
         for batch in batches:
             sides, areas = [], []
             for column in (a, b):
-                flat = Flat([wkb.parse(x) for x in batch.column(column).to_pylist()])
+                flat = Flat.read(batch.column(column))
                 points = flat.points if tile_key is None else flat.projected(_zones(batch, tile_key))
                 areas.append(flat.by_row(np.where(flat.shell, 1.0, -1.0) * np.abs(flat.rings(points)[0])))
                 sides.append(flat.shapes(points))
-            over = [overlay.intersection_area(p, q) for p, q in zip(*sides, strict=True)]
+            over = overlay.intersection_areas(list(zip(*sides, strict=True)))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(x, pa.float64()) for x in (*areas, over))], [*kept, "area_a", "area_b", "overlap"])
 
     return pairs.mapInArrow(run, pairs.select(*kept).selectExpr("*", "cast(0 as double) area_a", "cast(0 as double) area_b", "cast(0 as double) overlap").schema)
 
 
+def overlaid(df: DataFrame, kernel: Callable[[list], list[wkb.Polygons]], *columns: str, name: str = "geometry") -> DataFrame:
+    """`df` without geometry `columns`, with what a kernel for whole batches (overlay.unions, overlay.intersections) makes
+    of each row's."""
+    kept = [c for c in df.columns if c not in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = []
+            for c in columns:
+                flat = Flat.read(batch.column(c))
+                sides.append(flat.shapes(flat.points))
+            made = kernel([list(x) for x in zip(*sides, strict=True)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(map(wkb.write, made), pa.binary())], [*kept, name])
+
+    return df.mapInArrow(run, df.select(*kept).selectExpr("*", f"cast(null as binary) as {name}").schema)
+
+
 def compact(df: DataFrame, geometry: str = "geometry", tile_key: str = "tile_key") -> DataFrame:
     """The geometry as start, deltas, ring and part counts on the zone's 2.5 m grid; a vertex off the grid is refused."""
 

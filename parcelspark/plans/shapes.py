@@ -6,14 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.functions import codec, geo, overlay, utm, wkb
 from parcelspark.plans import outlines, release, validation
 from parcelspark.plans.base import query
 from parcelspark.plans.view import SQL, parcels, table
-from parcelspark.session import materialise
+from parcelspark.session import materialise, spread
 
 ZONE = 31
 #: Transverse Mercator in SQL, as functions.utm: series in the third flattening.
@@ -47,6 +47,11 @@ def shaped(df: DataFrame, build: Callable[[dict], wkb.Polygons], name: str = "ge
     return df.mapInArrow(run, df.withColumn(name, F.lit(None).cast("binary")).schema)
 
 
+def boxed(df: DataFrame, name: str, *sides: Column) -> DataFrame:
+    """`df` with the WKB of boxes (x0, y0, x1, y1)."""
+    return release.box_geometry(df.withColumns({k: c.cast("double") for k, c in zip(("xmin", "ymin", "xmax", "ymax"), sides, strict=True)})).drop("xmin", "ymin", "xmax", "ymax").withColumnRenamed("geometry", name)
+
+
 _PLACES = "(SELECT o_orderkey AS id, 1 + (o_orderkey % 400) * 0.01e0 AS lon, 44 + (o_custkey % 500) * 0.01e0 AS lat, 1 + o_orderkey % 30 AS w, 1 + o_custkey % 30 AS h, o_orderkey % 5 AS k FROM orders)"
 
 
@@ -100,8 +105,9 @@ def largest_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two boxes for each part, the second moved by (dx, dy)."""
     p = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 7 + 2).alias("w"), (F.col("p_partkey") % 5 + 2).alias("h"), (F.col("p_partkey") % 9).alias("dx"), (F.col("p_size") % 6).alias("dy"))
-    one = shaped(p, lambda r: wkb.box(0, 0, r["w"], r["h"]), "ga")
-    return shaped(one, lambda r: wkb.box(r["dx"], r["dy"], r["dx"] + r["w"], r["dy"] + r["h"]), "gb")
+    at = F.lit(0)
+    one = boxed(spread(p, "p_partkey"), "ga", at, at, F.col("w"), F.col("h"))
+    return boxed(one, "gb", F.col("dx"), F.col("dy"), F.col("dx") + F.col("w"), F.col("dy") + F.col("h"))
 
 
 _TWO = "(SELECT p_partkey, w, h, greatest(w - dx, 0) * greatest(h - dy, 0) AS common FROM (SELECT p_partkey, p_size % 7 + 2 AS w, p_partkey % 5 + 2 AS h, p_partkey % 9 AS dx, p_size % 6 AS dy FROM part))"
@@ -115,21 +121,17 @@ def geometry_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return over.select("p_partkey", F.round("overlap", 6).alias("overlap"), rule.alias("seam"))
 
 
-def _united(r: dict) -> wkb.Polygons:
-    return overlay.union([wkb.parse(r["ga"]), wkb.parse(r["gb"])])
-
-
 @query(f"SELECT p_partkey, cast(2 * w * h - common as double) AS area FROM {_TWO}")
 def geometry_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unions as geometries, measured again."""
-    united = shaped(_pairs(spark, sf_dir), _united)
+    united = geo.overlaid(_pairs(spark, sf_dir), overlay.unions, "ga", "gb")
     return geo.measure(united.select("p_partkey", "geometry"), tile_key=None).select("p_partkey", F.round("area_m2", 6).alias("area"))
 
 
 @query(f"SELECT p_partkey, cast(common as double) AS area FROM {_TWO} WHERE common > 0")
 def geometry_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intersections as geometries; pairs that do not overlap have none."""
-    shared = shaped(_pairs(spark, sf_dir), lambda r: overlay.intersection(wkb.parse(r["ga"]), wkb.parse(r["gb"])))
+    shared = geo.overlaid(_pairs(spark, sf_dir), overlay.intersections, "ga", "gb")
     return geo.measure(shared.select("p_partkey", "geometry"), tile_key=None).where("area_m2 > 1e-9").select("p_partkey", F.round("area_m2", 6).alias("area"))
 
 

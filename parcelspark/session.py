@@ -68,6 +68,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` dealt by `keys` to two tasks a core at least: a file of one row group is one task, however long a kernel takes
+    over its rows."""
+    n = max(df.rdd.getNumPartitions(), 2 * df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(n, *keys)
+
+
 def drop_tables(spark: SparkSession) -> None:
     """Delete what this application has materialised, once its results have been written."""
     jvm = spark.sparkContext._jvm

@@ -1,8 +1,10 @@
 """Queries whose layouts and kernels must hold at sizes and keys beyond the smallest tables."""
 
 import duckdb
+import numpy as np
 import pytest
 
+from parcelspark.functions import geo, overlay, wkb
 from parcelspark.plans import registry
 
 
@@ -22,3 +24,36 @@ def test_border_parcels_have_places_of_their_own(spark, tmp_path):
     keys = [0, 1, 2_000, 2_001, 4_001, 19_999, 20_000, 20_001, 59_999, 9_999_999]
     got, want = _both(spark, tmp_path, "cross_zone_merges", supplier=f"select unnest({keys}::bigint[]) as s_suppkey")
     assert got == want and len(got) == len(keys)
+
+
+def test_one_row_group_is_not_one_task(spark):
+    # its rows were united by one task, one pair at a time
+    assert registry.queries()["geometry_unions"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() > 1
+
+
+def _star(rng, n):
+    turn = np.sort(rng.random(n)) * 2 * np.pi
+    p = rng.random(2)[None] + np.column_stack([np.cos(turn), np.sin(turn)]) * (0.3 + rng.random(n))[:, None]
+    return [[np.concatenate([p, p[:1]])]]
+
+
+def test_a_batch_of_overlays_has_the_areas_of_the_slabs():
+    rng = np.random.default_rng(3)
+    box = lambda: wkb.box(*(c := rng.integers(0, 6, 2)), *(c + rng.integers(1, 6, 2)))
+    holed = [[wkb.box(0, 0, 9, 9)[0][0], wkb.box(2, 2, 5, 5)[0][0][::-1]]]
+    rows = [[box() for _ in range(k)] for k in (1, 2, 3, 7, 40)] * 8 + [[_star(rng, 9) for _ in range(k)] for k in (2, 3, 60)] * 4 + [[holed, box()], [[], box()], []]
+    for row, shape in zip(rows, overlay.unions(rows), strict=True):
+        assert wkb.area(shape) == pytest.approx(overlay.union_area(row) if row else 0, abs=1e-6)
+    pairs = [(r[0], r[1]) for r in rows if len(r) > 1]
+    for pair, area, shape in zip(pairs, overlay.intersection_areas(pairs), overlay.intersections(pairs), strict=True):
+        assert area == pytest.approx(overlay.intersection_area(*pair), abs=1e-7) and wkb.area(shape) == pytest.approx(area, abs=1e-6)
+
+
+def test_geometries_of_any_kind_are_read_in_order():
+    import pyarrow as pa
+
+    two, holed = wkb.box(0, 0, 1, 1) + wkb.box(5, 5, 7, 7), [[wkb.box(0, 0, 9, 9)[0][0], wkb.box(2, 2, 5, 5)[0][0][::-1]]]
+    shapes = [wkb.box(1, 2, 3, 4), [], two, wkb.box(3, 3, 4, 9), holed, [], wkb.box(0, 0, 2, 2)]
+    flat = geo.Flat.read(pa.array([wkb.write(s) for s in [None, *shapes] if s is not None], pa.binary()).slice(1))
+    assert [wkb.write(s) for s in flat.shapes(flat.points)] == [wkb.write(s) for s in shapes[1:]]
+    assert wkb.boxes(*np.array([[1.0, 2, 3, 4]]).T).to_pylist() == [wkb.write(shapes[0])]
