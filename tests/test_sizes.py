@@ -72,3 +72,10 @@ def test_shapefiles_of_boxes_are_written_and_read_at_once(spark, tmp_path):
     first = [r for r in rows if r.path.endswith("boxes.shp")]
     assert [(r.xmin, r.ymin, r.xmax, r.ymax) for r in first] == list(map(tuple, boxes)) and {len(bytes(r.geometry)) for r in first} == {93}
     assert [wkb.area(wkb.parse(bytes(r.geometry))) for r in rows if r.path.endswith("other.shp")] == [wkb.area(shapes[0]), wkb.area(shapes[1]), 72]
+
+
+def test_released_areas_are_not_rounded_twice(spark, tmp_path):
+    # areas of which the nearest float lies on the other side of a half
+    places = "values (85139, 5287), (136100, 4887), (39102, 1955), (28943, 7623), (127197, 6082), (1, 1)"
+    got, want = _both(spark, tmp_path, "release_seams", orders=f"select a::bigint as o_orderkey, b::bigint as o_custkey from ({places}) v(a, b)")
+    assert got == want and len(got) == 6
